@@ -69,15 +69,13 @@ def assign(
     tested = F.floor(test_age / test)
     train_folds = F.when(low <= high, F.sequence(low, high))
     test_folds = F.when((tested >= 0) & (tested < n_folds), F.array(tested))
-    pairs = F.concat(
-        *[
-            F.transform(
-                F.coalesce(ids, F.expr("cast(array() as array<bigint>)")),
-                lambda k, role=role: F.struct(k.alias("fold_id"), F.lit(role).alias("role")),
-            )
-            for role, ids in (("train", train_folds), ("test", test_folds))
-        ]
-    )
+    none = F.expr("cast(array() as array<bigint>)")
+
+    def labelled(ids: Column, role: str) -> Column:
+        name = F.lit(role).alias("role")
+        return F.transform(F.coalesce(ids, none), lambda k: F.struct(k.alias("fold_id"), name))
+
+    pairs = F.concat(labelled(train_folds, "train"), labelled(test_folds, "test"))
     return df.select(*df.columns, F.inline(pairs))
 
 

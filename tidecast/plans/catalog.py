@@ -609,11 +609,12 @@ def write_by_date(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _redelivered(spark: SparkSession, d: str, mode: str) -> DataFrame:
+    """All days, then the English articles of the last days once more."""
     path = scratch_dir(spark, mode)
-    rows = fx.articles(spark, d).select("title", "article", "date", "media")
-    writers.write_daily(rows, path)
-    late = rows.where((F.col("date") >= dt.date(2024, 1, 20)) & (F.col("media") == "cnn"))
-    writers.write_daily(late, path, mode=mode)
+    rows = fx.articles(spark, d).select("title", "article", "date", "media", "lang")
+    late = rows.where((F.col("date") >= dt.date(2024, 1, 20)) & (F.col("lang") == "en"))
+    writers.write_daily(rows.drop("lang"), path)
+    writers.write_daily(late.drop("lang"), path, mode=mode)
     return _by_media_day(daily.read(spark, path, daily.ARTICLE_SCHEMA, fmt="parquet"))
 
 
@@ -649,7 +650,7 @@ def upsert_by_date(spark: SparkSession, d: str) -> DataFrame:
 @query
 def write_record_json(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_dir(spark, "json")
-    scored = influence.score(fx.influencers(spark, d), fx.order_posts(spark, d), KEY)
+    scored = influence.score(fx.influencers(spark, d), fx.posts(spark, d), KEY)
     writers.write_daily(scored, path, fmt="json", dedup=False)
     schema = "series_id string, influence_score double, date date"
     return _rounded(daily.read(spark, path, schema), "influence_score", digits=4)

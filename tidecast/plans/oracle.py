@@ -277,7 +277,7 @@ _SEARCH = """
           '(^|[^\\p{L}\\p{N}_])(whst|heention)([^\\p{L}\\p{N}_]|$)')"""
 _LINES = "string_split(article, chr(10))"
 _BODY = "regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g')"
-_PIECES = f"list_slice(regexp_split_to_array({_BODY}, '<p(?:\\s[^>]*)?>'), 2, NULL)"
+_PIECES = f"list_slice(regexp_split_to_array({_BODY}, '<p(?:\\s[^>]*)?>'), 2, 1000000)"
 _PARAGRAPHS = (
     f"list_transform({_PIECES}, lambda p: {_visible(chr(115) + 'plit_part(p, ' + _quoted('</p>') + ', 1)')})"
 )
@@ -376,18 +376,17 @@ BODIES = {
         FROM (SELECT event_id, [({K} % 7) / 7.0, ({K} % 5) / 5.0, ({K} % 3) / 3.0] AS p
               FROM events)""",
     "lexicon_polarity": f"""
-        WITH scored AS (
-            SELECT doc_id, {_LEXICON_SUMS}
-            FROM (SELECT doc_id FROM fx_words) ids
-            LEFT JOIN (SELECT doc_id, aspect, weight
-                       FROM (SELECT doc_id, unnest(tokens) AS token FROM fx_words)
-                       JOIN (VALUES {LEXICON}) lexicon(token, aspect, weight) USING (token)) hits
-                USING (doc_id)
-            GROUP BY doc_id)
         SELECT doc_id, aspect, CAST(score AS BIGINT) AS score,
                CASE WHEN score > 0 THEN 'POSITIVE' WHEN score < 0 THEN 'NEGATIVE' ELSE 'NONE' END
                    AS polarity
-        FROM scored UNPIVOT (score FOR aspect IN ({", ".join(ASPECTS)}))""",
+        FROM (SELECT doc_id, {_LEXICON_SUMS}
+              FROM fx_words
+              LEFT JOIN (SELECT doc_id, aspect, weight
+                         FROM (SELECT doc_id, unnest(tokens) AS token FROM fx_words)
+                         JOIN (VALUES {LEXICON}) lexicon(token, aspect, weight) USING (token)) hits
+                  USING (doc_id)
+              GROUP BY doc_id)
+        UNPIVOT (score FOR aspect IN ({", ".join(ASPECTS)}))""",
     "top_influencers": """
         SELECT * FROM fx_influencers
         QUALIFY row_number() OVER (PARTITION BY token ORDER BY rank DESC, handle) <= 20""",
@@ -483,9 +482,9 @@ BODIES = {
                array_to_string(list_concat(ids, list_transform(range(128 - n_tokens),
                    lambda x: 0)), ' ') AS input_ids
         FROM (SELECT doc_id, count(*) AS n_tokens,
-                     list(coalesce(token_id, 1) ORDER BY at) AS ids
+                     list(coalesce(token_id, 1) ORDER BY place) AS ids
               FROM (SELECT doc_id, unnest(list_slice(tokens, 1, 128)) AS token,
-                           generate_subscripts(list_slice(tokens, 1, 128), 1) AS at
+                           generate_subscripts(list_slice(tokens, 1, 128), 1) AS place
                     FROM fx_words) LEFT JOIN fx_vocab USING (token)
               GROUP BY doc_id)""",
     "fold_table": f"SELECT * FROM {_FOLDS} f",
@@ -586,11 +585,15 @@ BODIES = {
         QUALIFY rank() OVER (PARTITION BY series_id ORDER BY date DESC) = 1""",
     "file_date": "SELECT date AS file_date, count(*) AS n FROM fx_close GROUP BY ALL",
     "write_by_date": _DAILY_ARTICLES.format(rows=_DISTINCT_ARTICLES),
-    "write_day_overwrite": _DAILY_ARTICLES.format(rows=_DISTINCT_ARTICLES)
-    + " HAVING date < DATE '2024-01-20' OR media = 'cnn'",
+    "write_day_overwrite": _DAILY_ARTICLES.format(
+        rows="""(SELECT DISTINCT title, article, date, media FROM fx_articles
+                 WHERE date < DATE '2024-01-20' OR lang = 'en'
+                    OR date NOT IN (SELECT date FROM fx_articles WHERE lang = 'en'))"""
+    ),
     "write_day_append": _DAILY_ARTICLES.format(
-        rows=f"""(SELECT * FROM {_DISTINCT_ARTICLES} UNION ALL SELECT * FROM {_DISTINCT_ARTICLES}
-                  WHERE date >= DATE '2024-01-20' AND media = 'cnn')"""
+        rows=f"""(SELECT * FROM {_DISTINCT_ARTICLES} UNION ALL
+                  SELECT DISTINCT title, article, date, media FROM fx_articles
+                  WHERE date >= DATE '2024-01-20' AND lang = 'en')"""
     ),
     "insert_if_absent": """
         SELECT series_id, date, trends + CASE WHEN date > DATE '2024-01-20' THEN 1000 ELSE 0 END
@@ -601,7 +604,7 @@ BODIES = {
         FROM fx_close""",
     "write_record_json": """
         SELECT series_id, date, round(coalesce(sum(rank), 0.0), 4) + 0.0 AS influence_score
-        FROM fx_order_posts LEFT JOIN fx_influencers ON author = handle GROUP BY ALL""",
+        FROM fx_posts LEFT JOIN fx_influencers ON author = handle GROUP BY ALL""",
     "publish_tables": "SELECT * FROM fx_trends JOIN fx_close USING (series_id, date)",
     "stream_ingest": _EVENTS,
     "stream_daily_counts": """

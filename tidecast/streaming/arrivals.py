@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType, StructType
 
 
 def arrivals(
@@ -64,7 +64,9 @@ def ingest(df: DataFrame, row_id: str, path: str, checkpoint: str) -> None:
     Rows stored by earlier batches are anti-joined away on (date, row id); a range over
     the batch's own days keeps that comparison to the partitions it touches.
     """
-    stored_schema = StructType(df.schema.fields).add("date", "date").add("batch", "bigint")
+    stored_schema = (
+        StructType(df.schema.fields).add("date", DateType()).add("batch", LongType())
+    )
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("date", F.to_date("ts")).dropDuplicates(["date", row_id])
