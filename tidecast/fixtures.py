@@ -317,7 +317,10 @@ def class_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LEXICON, "token string, aspect string, weight int")
+    """The word list as rows whose size the planner knows."""
+    names = ("token", "aspect", "weight")
+    rows = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in LEXICON]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

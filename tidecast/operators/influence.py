@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.operators.skew import top_n_per_group
+from tidecast.operators.skew import spread_join, top_n_per_group
 
 
 def top(
@@ -19,12 +19,12 @@ def top(
 
 
 def posts_with_rank(influencers: DataFrame, posts: DataFrame) -> DataFrame:
-    """Inner join of posts with the list, row by row.
+    """Inner join of posts with the list, row by row; adds the list's columns.
 
-    A handle listed twice counts twice. NULL handles match nothing. The join is left to
-    Spark, which broadcasts a small list and splits a hot author's partition otherwise.
+    A handle listed twice counts twice. NULL handles match nothing. A hot author's posts
+    are spread over several tasks.
     """
-    return posts.join(influencers, posts["author"] == influencers["handle"], "inner")
+    return spread_join(posts, influencers, "author", "handle", row_id="tweet_id", how="inner")
 
 
 def score(influencers: DataFrame, posts: DataFrame, keys: list[str]) -> DataFrame:

@@ -76,15 +76,16 @@ def number_rows(
     )
 
 
-def lookup_join(
+def spread_join(
     facts: DataFrame,
     lookup: DataFrame,
     fact_key: str,
     lookup_key: str,
     row_id: str,
+    how: str = "left",
     salts: int = 8,
 ) -> DataFrame:
-    """Left join of a large fact table with a one-row-per-key table, safe for hot keys.
+    """Join a large fact table with a lookup, safe for hot keys; left, inner or semi.
 
     Facts of one key are spread over ``salts`` join buckets and the lookup is repeated
     in each of them. Facts with a NULL key match nothing, so they are spread over many
@@ -102,4 +103,4 @@ def lookup_join(
     matched = (F.col(fact_key) == F.col("_lookup_key")) & (
         F.col("_bucket") == F.col("_lookup_bucket")
     )
-    return left.join(right, matched, "left").drop("_bucket", "_lookup_key", "_lookup_bucket")
+    return left.join(right, matched, how).drop("_bucket", "_lookup_key", "_lookup_bucket")

@@ -7,25 +7,25 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.operators.skew import lookup_join
+from tidecast.operators.skew import spread_join
 
 
 def with_author(posts: DataFrame, users: DataFrame) -> DataFrame:
     """Add ``username_source``, the name behind ``author_id``."""
     names = users.select("id", F.col("username").alias("username_source"))
-    return lookup_join(posts, names, "author_id", "id", row_id="tweet_id")
+    return spread_join(posts, names, "author_id", "id", row_id="tweet_id")
 
 
 def with_reply_target(posts: DataFrame, users: DataFrame) -> DataFrame:
     """Add ``username_target``, the name replied to. NULL for a post that is no reply."""
     names = users.select("id", F.col("username").alias("username_target"))
-    return lookup_join(posts, names, "in_reply_to_user_id", "id", row_id="tweet_id")
+    return spread_join(posts, names, "in_reply_to_user_id", "id", row_id="tweet_id")
 
 
 def with_place(posts: DataFrame, places: DataFrame) -> DataFrame:
     """Add country, country code and full place name; NULL where there is no place."""
     named = places.select("id", "country_code", "country", "full_name")
-    return lookup_join(posts, named, "geo_id", "id", row_id="tweet_id")
+    return spread_join(posts, named, "geo_id", "id", row_id="tweet_id")
 
 
 def enrich(posts: DataFrame, users: DataFrame, places: DataFrame) -> DataFrame:
@@ -79,4 +79,5 @@ def capped(posts: DataFrame, max_count: int, order: list[str]) -> DataFrame:
 
 def by_authors(posts: DataFrame, influencers: DataFrame) -> DataFrame:
     """Posts of listed authors: one semi-join instead of batches of names."""
-    return posts.join(influencers, posts["author"] == influencers["handle"], "left_semi")
+    listed = influencers.select("handle")
+    return spread_join(posts, listed, "author", "handle", row_id="tweet_id", how="left_semi")

@@ -29,6 +29,7 @@ from tidecast.operators import (
     skew,
     social,
 )
+from tidecast.plans import daily_job
 from tidecast.plans import feature_table as flagship
 from tidecast.session import scratch_dir
 from tidecast.sources import daily, pages, writers
@@ -226,6 +227,21 @@ def lexicon_polarity(spark: SparkSession, d: str) -> DataFrame:
     return sentiment.lexicon_polarity(rows, ["doc_id"], fx.lexicon(spark))
 
 
+@query
+def sentiment_extraction(spark: SparkSession, d: str) -> DataFrame:
+    def relevant(rows: DataFrame) -> DataFrame:
+        return rows.where(F.contains(F.lower("content"), F.lit("the")))
+
+    def classified(rows: DataFrame) -> DataFrame:
+        return sentiment.lexicon_polarity(rows, ["doc_id", "media", "date"], fx.lexicon(spark))
+
+    records = daily_job.extract_sentiment(
+        fx.articles(spark, d), ["media"], "doc_id", 25, relevant, classified, ["twitter"]
+    )
+    rows = sentiment.flatten_records(records, ["media"])
+    return rows.join(records.select("media", "date", "total_docs"), ["media", "date"])
+
+
 # Influence ----------------------------------------------------------------------
 
 
@@ -237,7 +253,7 @@ def top_influencers(spark: SparkSession, d: str) -> DataFrame:
 @query
 def influence_join(spark: SparkSession, d: str) -> DataFrame:
     joined = influence.posts_with_rank(fx.influencers(spark, d), fx.order_posts(spark, d))
-    return joined.select("tweet_id", "date", "handle", "rank")
+    return joined.select("tweet_id", "date", F.col("author").alias("handle"), "rank")
 
 
 @query
@@ -486,6 +502,20 @@ def ledger_append(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(ledger.append(new, stored, KEY), "price_diff", digits=4)
 
 
+@query
+def forecast_day(spark: SparkSession, d: str) -> DataFrame:
+    settings = daily_job.Settings(
+        train_days=14,
+        holdout_days=7,
+        step=7,
+        selection_gap=7,
+        selector=SMALL,
+        candidates=[SMALL],
+    )
+    table = _full_table(spark, d)
+    return daily_job.forecast(table, KEY, settings).drop("selected_features")
+
+
 def _forecasts(spark: SparkSession, d: str) -> DataFrame:
     return flagship.forecasts(_full_table(spark, d), KEY)
 

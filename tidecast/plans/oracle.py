@@ -48,6 +48,12 @@ def _masked(expr: str) -> str:
     return f"array_to_string(list_transform({_tokens(expr)}, lambda t: {mask}), ' ')"
 
 
+def _normalized(expr: str) -> str:
+    plain = f"replace({_replaced(expr, text.TYPOGRAPHIC)}, chr(13), ' ')"
+    spoken = _replaced(_masked(plain), text.CONTRACTIONS)
+    return f"trim(regexp_replace({spoken}, '{text.WHITESPACE}', ' ', 'g'))"
+
+
 def _visible(expr: str) -> str:
     broken = f"regexp_replace({expr}, '(?i)<br\\s*/?>', chr(10), 'g')"
     bare = f"regexp_replace({broken}, '<[^>]*>', '', 'g')"
@@ -145,6 +151,16 @@ VIEWS = {
         SELECT series_id, date, close_price,
                CASE WHEN price_diff > 0 THEN 'Up' ELSE 'Down' END AS prediction
         FROM fx_returns WHERE price_diff IS NOT NULL""",
+    "fx_relevant": f"""
+        SELECT * FROM (
+            SELECT doc_id, media, date, {_normalized("content")} AS content
+            FROM (SELECT doc_id, media, date,
+                         CASE WHEN media = 'twitter' THEN article ELSE title || ' ' || article END
+                             AS content
+                  FROM fx_articles
+                  QUALIFY row_number() OVER (PARTITION BY media, date
+                      ORDER BY md5('42-' || doc_id), doc_id) <= 25))
+        WHERE contains(lower(content), 'the')""",
     "fx_words": f"""
         SELECT doc_id, {_tokens("lower(article)")} AS tokens FROM fx_articles""",
     "fx_vocab": """
@@ -387,6 +403,23 @@ BODIES = {
                   USING (doc_id)
               GROUP BY doc_id)
         UNPIVOT (score FOR aspect IN ({", ".join(ASPECTS)}))""",
+    "sentiment_extraction": f"""
+        SELECT media, date, aspect, polarity, count(*) AS n, any_value(total_docs) AS total_docs
+        FROM (SELECT media, date, aspect,
+                     CASE WHEN score > 0 THEN 'POSITIVE' WHEN score < 0 THEN 'NEGATIVE'
+                          ELSE 'NONE' END AS polarity
+              FROM (SELECT doc_id, media, date, {_LEXICON_SUMS}
+                    FROM fx_relevant
+                    LEFT JOIN (SELECT doc_id, aspect, weight
+                               FROM (SELECT doc_id, unnest({_tokens("lower(content)")}) AS token
+                                     FROM fx_relevant)
+                               JOIN (VALUES {LEXICON}) lexicon(token, aspect, weight)
+                                   USING (token)) hits USING (doc_id)
+                    GROUP BY ALL)
+              UNPIVOT (score FOR aspect IN ({", ".join(ASPECTS)})))
+        JOIN (SELECT media, date, count(*) AS total_docs FROM fx_articles GROUP BY ALL) totals
+            USING (media, date)
+        GROUP BY media, date, aspect, polarity""",
     "top_influencers": """
         SELECT * FROM fx_influencers
         QUALIFY row_number() OVER (PARTITION BY token ORDER BY rank DESC, handle) <= 20""",
@@ -437,12 +470,8 @@ BODIES = {
     "dedup_first": """
         SELECT user_id, event_id, ts, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""",
-    "normalize_text": "SELECT event_id, trim(regexp_replace("
-    + _replaced(
-        _masked("replace(" + _replaced("article", text.TYPOGRAPHIC) + ", chr(13), ' ')"),
-        text.CONTRACTIONS,
-    )
-    + f", '{text.WHITESPACE}', ' ', 'g')) AS article FROM fx_raw_posts",
+    "normalize_text": f"""
+        SELECT event_id, {_normalized("article")} AS article FROM fx_raw_posts""",
     "mask_tokens": f"SELECT event_id, {_masked('article')} AS article FROM fx_raw_posts",
     "extract_mentions": f"""
         SELECT event_id, nullif(array_to_string(regexp_extract_all(article, '@{text.WORD}'), ' '),
