@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.functions import text
+from tidecast.functions import reltime, text
 from tidecast.operators import series
 
 SOURCES = ["twitter", "cnn", "bitcoin_news", "twitter_influencers"]
@@ -106,9 +106,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exchange candles per event type: epoch-millisecond close time and price."""
     return table(spark, sf_dir, "events").select(
         F.col("event_type").alias("series_id"),
-        F.unix_millis(F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")).alias(
-            "closetime"
-        ),
+        F.unix_millis(reltime.as_utc(F.col("ts"))).alias("closetime"),
         "event_id",
         F.col("value").alias("close_price"),
     )
@@ -117,9 +115,11 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def close(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily close of the three series the posts are about."""
     return series.daily_close(
-        posts(spark, sf_dir).withColumnRenamed("value", "close_price"),
+        posts(spark, sf_dir).withColumn("instant", F.unix_micros(reltime.as_utc(F.col("ts")))),
         ["series_id"],
-        ["ts", "event_id"],
+        "instant",
+        "event_id",
+        price="value",
     )
 
 
@@ -131,7 +131,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         F.col("o_totalprice").alias("close_price"),
     )
-    return series.daily_close(orders, ["series_id"], ["o_orderkey"])
+    return series.daily_close(orders, ["series_id"], "o_orderkey")
 
 
 def trends(spark: SparkSession, sf_dir: str) -> DataFrame:

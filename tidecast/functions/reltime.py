@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 UNITS = ["second", "min", "minute", "hour", "day", "week", "month", "year"]
 
 
+def as_utc(ts: Column) -> Column:
+    """A zone-free timestamp as an instant in UTC, whatever the session zone."""
+    return F.concat(ts.cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def _interval(unit: str, n: Column) -> Column:
     if unit == "second":
         return F.make_interval(secs=n)

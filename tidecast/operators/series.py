@@ -21,11 +21,26 @@ def metric_date(epoch_s: str) -> Column:
 
 
 def daily_close(
-    ticks: DataFrame, keys: list[str], order: list[str], price: str = "close_price"
+    ticks: DataFrame,
+    keys: list[str],
+    instant: str,
+    tie: str | None = None,
+    price: str = "close_price",
 ) -> DataFrame:
-    """Last tick per series and day. ``max_by`` is combined before the shuffle."""
-    last = F.max_by(F.col(price), F.struct(*order))
-    return ticks.groupBy(*keys, "date").agg(last.alias("close_price"))
+    """Last tick per series and day, by an integer ``instant`` and then an integer ``tie``.
+
+    The two are packed into one decimal, which a hash aggregation can hold; a struct would
+    make Spark sort all ticks first. Ticks are reduced to one per (series, day) in every
+    task before the shuffle.
+    """
+    order = F.col(instant) if tie is None else _packed(F.col(instant), F.col(tie))
+    return ticks.groupBy(*keys, "date").agg(F.max_by(price, order).alias("close_price"))
+
+
+def _packed(major: Column, minor: Column) -> Column:
+    """Lexicographic order of two bigints as one number: major first, minor never carries."""
+    shifted = minor.cast("decimal(20,0)") + F.expr("9223372036854775808BD")
+    return major.cast("decimal(19,0)") * F.expr("20000000000000000000BD") + shifted
 
 
 def log_return(df: DataFrame, keys: list[str], price: str = "close_price") -> DataFrame:
@@ -51,8 +66,9 @@ def metric_series(points: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def pivot_metrics(df: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
-    """One column per metric. The names are given, so Spark runs no job to find them."""
-    return df.groupBy(*keys, "date").pivot("metric", metrics).agg(F.max("v"))
+    """One column per metric, as conditional maxima: one shuffle, where pivot takes two."""
+    columns = [F.max(F.when(F.col("metric") == m, F.col("v"))).alias(m) for m in metrics]
+    return df.groupBy(*keys, "date").agg(*columns)
 
 
 def in_reference_range(df: DataFrame, reference: DataFrame) -> DataFrame:

@@ -112,7 +112,7 @@ def union_sources(spark: SparkSession, d: str) -> DataFrame:
 @query
 def daily_close(spark: SparkSession, d: str) -> DataFrame:
     candles = fx.ticks(spark, d).withColumn("date", series.candle_date("closetime"))
-    return series.daily_close(candles, KEY, ["closetime", "event_id"])
+    return series.daily_close(candles, KEY, "closetime", "event_id")
 
 
 @query
@@ -517,7 +517,10 @@ def forecast_day(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _forecasts(spark: SparkSession, d: str) -> DataFrame:
-    return flagship.forecasts(_full_table(spark, d), KEY)
+    """Forecast rows, written once: the reports below read them several times."""
+    path = scratch_dir(spark, "forecasts")
+    flagship.forecasts(_full_table(spark, d), KEY).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @query
@@ -530,7 +533,8 @@ def current_prediction(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def prediction_history(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(ledger.history(_forecasts(spark, d), KEY), "p", "news_sentiment")
+    rows = flagship.forecasts(_full_table(spark, d), KEY)
+    return _rounded(ledger.history(rows, KEY), "p", "news_sentiment")
 
 
 @query

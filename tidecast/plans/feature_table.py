@@ -49,7 +49,7 @@ def build(
     interest = calendar.shift(recent(inputs.trends), TREND_LAG)
     network = series.pivot_metrics(recent(inputs.metrics), keys, metric_names)
     weight = influence.score(inputs.influencers, recent(inputs.influencer_posts), keys)
-    days = calendar.spine(inputs.close, keys, today, period)
+    days = calendar.spine(recent(inputs.close), keys, today, period)
     table = features.build([texts, interest, network, weight, price], days, keys)
     return table.withColumn("influencer_appearances", F.col(f"total_docs_{influencer_source}"))
 

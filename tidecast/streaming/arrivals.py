@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructType
 
+from tidecast.functions.reltime import as_utc
+
 
 def arrivals(
     spark: SparkSession,
@@ -28,11 +30,6 @@ def arrivals(
     return reader.load(path)
 
 
-def event_time(ts: str) -> Column:
-    """A zone-free timestamp as UTC event time, whatever the session zone."""
-    return F.concat(F.col(ts).cast("string"), F.lit("Z")).cast("timestamp")
-
-
 def _drain(
     df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str
 ) -> None:
@@ -92,7 +89,7 @@ def daily_counts(
     not wait for the watermark to pass them. ``latest_counts`` reads the newest totals.
     """
     counted = (
-        df.withColumn("_event_time", event_time("ts"))
+        df.withColumn("_event_time", as_utc(F.col("ts")))
         .withWatermark("_event_time", delay)
         .groupBy(F.window("_event_time", "1 day"), F.to_date("ts").alias("date"), *keys)
         .agg(F.count("*").alias("n"))
@@ -111,7 +108,7 @@ def dedup(
 ) -> None:
     """Drop rows whose id was seen within the watermark delay; state is bounded by it."""
     unique = (
-        df.withColumn("_event_time", event_time("ts"))
+        df.withColumn("_event_time", as_utc(F.col("ts")))
         .withWatermark("_event_time", delay)
         .dropDuplicatesWithinWatermark([row_id])
         .drop("_event_time")
