@@ -112,24 +112,25 @@ def source_features(posts: DataFrame, keys: list[str], sources: list[str]) -> Da
     that holds most of the rows does not make one reducer larger than the others. A
     source without documents on a day leaves NULLs, like a missing daily file.
     """
+    is_polarity = {p: F.col("polarity") == p for p in scoring.POLARITIES}
     sums = []
     for s in sources:
         of_source = F.col("media") == s
-        sums.append(F.count(F.when(of_source, 1)).alias(f"total_docs_{s}"))
+        sums.append(F.count_if(of_source).alias(f"total_docs_{s}"))
         sums += [
-            _count_where(of_source & (F.col("polarity") == p)).alias(f"total_{p.lower()}_{s}")
+            F.count_if(of_source & is_polarity[p]).alias(f"total_{p.lower()}_{s}")
             for p in scoring.POLARITIES
         ]
     daily = posts.groupBy(*keys, "date").agg(*sums)
     columns = []
     for s in sources:
         seen = F.col(f"total_docs_{s}") > 0
-        counted = [F.col(f"total_{p.lower()}_{s}") for p in scoring.POLARITIES]
+        positive, negative, none = [F.col(f"total_{p.lower()}_{s}") for p in scoring.POLARITIES]
         shown = {
-            f"{s}_score": scoring.polarity_score(*counted),
-            f"{s}_pos_neg_ratio": scoring.pos_neg_ratio(*counted[:2]),
-            f"total_positive_{s}": counted[0],
-            f"total_negative_{s}": counted[1],
+            f"{s}_score": scoring.polarity_score(positive, negative, none),
+            f"{s}_pos_neg_ratio": scoring.pos_neg_ratio(positive, negative),
+            f"total_positive_{s}": positive,
+            f"total_negative_{s}": negative,
             f"total_docs_{s}": F.col(f"total_docs_{s}"),
         }
         columns += [F.when(seen, c).alias(name) for name, c in shown.items()]
