@@ -34,10 +34,32 @@ def sample_per_day(
 ) -> DataFrame:
     """At most ``n`` rows per group and day, uniform, without replacement, repeatable.
 
-    The order is a hash of the row id, so a retried task draws the same rows.
+    The order is a hash of the row id, so a retried task draws the same rows. A first pass
+    over the ids alone counts rows per leading hash digits; from the counts follows, per
+    group, beyond which digits no row can be among the first ``n``. Only the rows before
+    that, little more than ``n`` per group, are read in full, shuffled and ranked.
     """
     order = F.md5(F.concat(F.lit(f"{seed}-"), F.col(row_id).cast("string")))
-    return top_n_per_group(df, [*keys, "date"], [order, F.col(row_id)], n, row_id)
+    bucket = F.substring(order, 1, 3)
+    upto = Window.partitionBy(*keys, "date").orderBy("_bucket")
+    counted = (
+        df.select(*keys, "date", bucket.alias("_bucket"))
+        .groupBy(*keys, "date", "_bucket")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_total", F.sum("_n").over(upto))
+    )
+    last = (
+        counted.where(F.col("_total") >= n)
+        .groupBy(*keys, "date")
+        .agg(F.min("_bucket").alias("_last"))
+    )
+    near = (
+        df.join(last, [*keys, "date"], "left")
+        .where(F.col("_last").isNull() | (bucket <= F.col("_last")))
+        .drop("_last")
+        .select(*df.columns)
+    )
+    return top_n_per_group(near, [*keys, "date"], [order, F.col(row_id)], n, row_id)
 
 
 def expand_aspects(

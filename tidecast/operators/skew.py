@@ -52,27 +52,23 @@ def number_rows(
     that orders rows stays inside one piece. ``row_id`` must be an integer, unique per
     (key, date). Groups are matched null-safe, so a NULL key is numbered like any other.
     """
-    pieces = df.withColumn("_block", F.floor(F.col(row_id) / block))
-    place = [*keys, date, "_block"]
-    before = (
-        Window.partitionBy(*keys)
-        .orderBy(date, "_block")
+    piece = F.struct(*keys, date, F.floor(F.col(row_id) / block).alias("_block"))
+    pieces = df.withColumn("_piece", piece)
+    earlier = (
+        Window.partitionBy(*[f"_piece.{k}" for k in keys])
+        .orderBy(f"_piece.{date}", "_piece._block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        pieces.groupBy(*place)
+        pieces.groupBy("_piece")
         .agg(F.count("*").alias("_n"))
-        .select(
-            *[F.col(c).alias(f"_o_{c}") for c in place],
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        )
+        .select("_piece", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    same_piece = [pieces[c].eqNullSafe(offsets[f"_o_{c}"]) for c in place]
-    inside = Window.partitionBy(*place).orderBy(row_id)
+    inside = Window.partitionBy("_piece").orderBy(row_id)
     return (
-        pieces.join(offsets, same_piece)
+        pieces.join(offsets, "_piece")
         .withColumn(out, F.row_number().over(inside) + F.col("_before"))
-        .drop("_block", "_before", *[f"_o_{c}" for c in place])
+        .drop("_piece", "_before")
     )
 
 
@@ -83,14 +79,15 @@ def spread_join(
     lookup_key: str,
     row_id: str,
     how: str = "left",
-    salts: int = 8,
+    salts: int = 16,
 ) -> DataFrame:
     """Join a large fact table with a lookup, safe for hot keys; left, inner or semi.
 
     Facts of one key are spread over ``salts`` join buckets and the lookup is repeated
     in each of them. Facts with a NULL key match nothing, so they are spread over many
     buckets instead of meeting in one. No broadcast is forced: Spark broadcasts the
-    lookup when its size is under the session's threshold and sort-merges otherwise.
+    lookup when its size is under the session's threshold and sort-merges otherwise, with
+    the adaptive skew split on top for a bucket that is still too large.
     """
     spread = F.xxhash64(row_id)
     bucket = F.when(F.col(fact_key).isNull(), F.pmod(spread, F.lit(4096))).otherwise(
