@@ -198,7 +198,7 @@ def test_pages_with_missing_parts(spark, rows):
         '{"data":[{"id":"3"}],"includes":{"places":[{"id":"p","country":"C"}]}}',
     ]
     raw = spark.createDataFrame([(p,) for p in pages_json], ["value"])
-    posts, users, places = pages.flatten(raw)
+    posts, users, places = pages.flatten(pages.parse(raw))
     assert rows(posts, "tweet_id", "tweet_type", "geo_id") == [
         ("1", None, None),
         ("2", "quoted", "p"),

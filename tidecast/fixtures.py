@@ -76,11 +76,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _case(column: Column, values: dict) -> Column:
-    out = F.lit(None)
-    for key, value in reversed(values.items()):
-        out = F.when(column == key, F.lit(value)).otherwise(out)
-    return out
+def _case(expression: str, values: dict) -> Column:
+    arms = " ".join(f"WHEN {k!r} THEN {v!r}" for k, v in values.items())
+    return F.expr(f"CASE {expression} {arms} END")
+
+
+K = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
 
 
 def _day(offset: Column) -> Column:
@@ -89,7 +90,6 @@ def _day(offset: Column) -> Column:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classified posts of three series and four sources."""
-    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
     aspects = {
         "click": "ECONOMY",
         "view": "TECHNOLOGY",
@@ -104,15 +104,15 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("s"), F.col("user_id") % 3).alias("series_id"),
         F.col("user_id").alias("author"),
         "value",
-        _case(F.col("event_id") % 4, dict(enumerate(SOURCES))).alias("media"),
-        _case(F.col("event_type"), aspects).alias("aspect"),
-        _case(k % 3, {0: "POSITIVE", 1: "NEGATIVE", 2: "NONE"}).alias("polarity"),
+        _case("event_id % 4", dict(enumerate(SOURCES))).alias("media"),
+        _case("event_type", aspects).alias("aspect"),
+        _case(f"{K} % 3", {0: "POSITIVE", 1: "NEGATIVE", 2: "NONE"}).alias("polarity"),
     )
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News and post texts over thirty days and three media; posts have no title."""
-    media = _case(F.col("doc_id") % 3, {0: "twitter", 1: "cnn", 2: "bitcoin_news"})
+    media = _case("doc_id % 3", {0: "twitter", 1: "cnn", 2: "bitcoin_news"})
     title = F.when(F.col("doc_id") % 3 != 0, F.substring_index("text", "\n", 1))
     day = _day(F.col("doc_id") % 30)
     ts = day.cast("timestamp_ntz") + F.make_interval(secs=F.col("doc_id") % 86400)
@@ -183,7 +183,7 @@ def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily value of six metrics per series."""
     return (
         posts(spark, sf_dir)
-        .withColumn("metric", _case(F.col("event_id") % 6, dict(enumerate(METRICS))))
+        .withColumn("metric", _case("event_id % 6", dict(enumerate(METRICS))))
         .groupBy("series_id", "date", "metric")
         .agg(F.round(F.sum("value"), 4).alias("v"))
     )
@@ -310,7 +310,7 @@ def relative_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scrape times with relative texts in every unit; some texts are absolute or broken."""
     k = F.regexp_extract("props", "[0-9]+", 0)
     units = dict(enumerate(["second", "min", "minute", "hour", "day", "week", "month", "year"]))
-    unit = _case(F.col("event_id") % 8, units)
+    unit = _case("event_id % 8", units)
     said = (
         F.when(F.col("event_id") % 11 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
         .when(F.col("event_id") % 13 == 0, F.lit("just now"))

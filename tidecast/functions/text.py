@@ -69,7 +69,7 @@ def squeeze(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Whitespace tokens of a text, without empty ones."""
-    return F.filter(F.split(text, WHITESPACE), lambda t: t != "")
+    return F.array_remove(F.split(text, WHITESPACE), "")
 
 
 def mask_token(token: Column) -> Column:

@@ -35,12 +35,13 @@ def build(
     rows = union_sources([*tables, marked])
     values = [c for c in rows.columns if c not in (*keys, "date", "_on_calendar")]
     merged = rows.groupBy(*keys, "date").agg(
-        F.max("_on_calendar").alias("_on_calendar"), *[F.max(c).alias(c) for c in values]
+        *[F.max(c).alias(c) for c in ["_on_calendar", *values]]
+    )
+    return (
+        merged.where(F.col("_on_calendar"))
+        .drop("_on_calendar")
+        .fillna(0, subset=[c for c in values if c not in keep_null])
     )
-    filled = [
-        F.col(c) if c in keep_null else F.coalesce(F.col(c), F.lit(0)).alias(c) for c in values
-    ]
-    return merged.where(F.col("_on_calendar")).select(*keys, "date", *filled)
 
 
 def drop_non_features(df: DataFrame, pattern: str = NOT_FEATURES) -> DataFrame:

@@ -164,16 +164,16 @@ def lexicon_polarity(
 ) -> DataFrame:
     """Polarity of every (text, aspect) by the sign of its summed word weights.
 
-    ``lexicon`` has (token, aspect, weight). Tokens of one text are exploded and summed
-    in the same task, so the shuffle carries about one row per text.
+    ``lexicon`` has (token, aspect, weight); it is turned into one row per token, so the
+    join never multiplies tokens. Tokens of one text are exploded and summed in the same
+    task, so the shuffle carries about one row per text.
     """
+    weights = lexicon.groupBy("token").agg(
+        *[F.sum(F.when(F.col("aspect") == a, F.col("weight"))).alias(a) for a in scoring.ASPECTS]
+    )
     words = df.select(*row_id, F.explode_outer(text.tokens(F.lower(text_col))).alias("token"))
-    scored = words.join(lexicon, "token", "left")
-    sums = [
-        F.coalesce(F.sum(F.when(F.col("aspect") == a, F.col("weight"))), F.lit(0)).alias(a)
-        for a in scoring.ASPECTS
-    ]
-    per_text = scored.groupBy(*row_id).agg(*sums)
+    sums = [F.coalesce(F.sum(a), F.lit(0)).alias(a) for a in scoring.ASPECTS]
+    per_text = words.join(weights, "token", "left").groupBy(*row_id).agg(*sums)
     pairs = F.array(
         *[F.struct(F.lit(a).alias("aspect"), F.col(a).alias("score")) for a in scoring.ASPECTS]
     )

@@ -272,9 +272,15 @@ def influence_score(spark: SparkSession, d: str) -> DataFrame:
 # Posts --------------------------------------------------------------------------
 
 
+def _stored_pages(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_dir(spark, "pages")
+    pages.dump(fx.pages_json(spark, d), path)
+    return pages.read(spark, path)
+
+
 @query
 def flatten_pages(spark: SparkSession, d: str) -> DataFrame:
-    posts, users, places = pages.flatten(fx.pages_json(spark, d))
+    posts, users, places = pages.flatten(_stored_pages(spark, d))
     kinds = [
         posts.select(F.lit("post").alias("kind"), F.col("tweet_id").alias("id"), "article"),
         users.select(F.lit("user").alias("kind"), "id", F.col("username").alias("article")),
@@ -297,21 +303,21 @@ def expand_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def enrich_author(spark: SparkSession, d: str) -> DataFrame:
-    posts, users, _ = pages.flatten(fx.pages_json(spark, d))
+    posts, users, _ = pages.flatten(_stored_pages(spark, d))
     rows = social.with_author(posts, users)
     return rows.select("tweet_id", "author_id", "username_source")
 
 
 @query
 def enrich_reply_target(spark: SparkSession, d: str) -> DataFrame:
-    posts, users, _ = pages.flatten(fx.pages_json(spark, d))
+    posts, users, _ = pages.flatten(_stored_pages(spark, d))
     rows = social.with_reply_target(posts, users)
     return rows.select("tweet_id", "in_reply_to_user_id", "username_target")
 
 
 @query
 def enrich_place(spark: SparkSession, d: str) -> DataFrame:
-    posts, _, places = pages.flatten(fx.pages_json(spark, d))
+    posts, _, places = pages.flatten(_stored_pages(spark, d))
     rows = social.with_place(posts, places)
     return rows.select("tweet_id", "geo_id", "country_code", "country", "full_name")
 

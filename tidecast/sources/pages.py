@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.operators.skew import first_per_group
@@ -28,6 +28,16 @@ def parse(raw: DataFrame, column: str = "value") -> DataFrame:
     return raw.select(F.from_json(column, PAGE_SCHEMA).alias("page")).select("page.*")
 
 
+def dump(raw: DataFrame, path: str, column: str = "value") -> None:
+    """Keep the pages as they came, one JSON document per line."""
+    raw.select(column).write.mode("append").text(path)
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """Dumped pages, typed. Only the top-level fields a query uses are parsed."""
+    return spark.read.schema(PAGE_SCHEMA).json(path)
+
+
 def posts(pages: DataFrame) -> DataFrame:
     """One row per post, with its type and place; bookkeeping fields dropped."""
     rows = pages.select(F.inline("data"))
@@ -57,7 +67,6 @@ def places(pages: DataFrame) -> DataFrame:
     )
 
 
-def flatten(raw: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Posts, users and places of a frame of JSON pages."""
-    pages = parse(raw, column)
+def flatten(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Posts, users and places of typed pages."""
     return posts(pages), users(pages), places(pages)
