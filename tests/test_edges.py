@@ -288,6 +288,17 @@ def test_csv_keeps_newlines_quotes_nulls_and_empty_texts(spark, rows, tmp_path):
         daily.read_day(spark, path, daily.ARTICLE_SCHEMA, day(7))
 
 
+def test_csv_columns_go_by_name_and_titles_are_optional(spark, rows, tmp_path):
+    path = f"{tmp_path}/untitled"
+    df = spark.createDataFrame(
+        [("twitter", "text", day(1))], "media string, article string, date date"
+    )
+    writers.write_daily(df, path, fmt="csv")
+    stored = daily.read(spark, path, daily.ARTICLE_SCHEMA, day(1), day(1), "csv")
+    assert rows(stored) == [(None, "text", day(1), "twitter")]
+    assert "PartitionFilters: [isnotnull(date" in stored._jdf.queryExecution().toString()
+
+
 def test_date_checks(spark):
     df = spark.createDataFrame([("2024-01-01",), ("x",), (None,)], ["said"])
     found = checks.dates(df, [], "said").first()

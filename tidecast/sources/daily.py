@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 ARTICLE_SCHEMA = "title string, article string, date date, media string"
 SENTIMENT_SCHEMA = (
@@ -32,13 +33,10 @@ def read(
     The schema is always given: nothing is inferred, an absent column is NULL, and an
     empty window is an empty typed frame. The date range prunes partitions.
     """
-    reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.options(
-            header=True, multiLine=True, quote='"', escape='"', emptyValue="", nullValue="\\N",
-            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        )
-    df = reader.format(fmt).load(path)
+        df = _read_csv(spark, path, StructType.fromDDL(schema))
+    else:
+        df = spark.read.schema(schema).format(fmt).load(path)
     if start is not None:
         df = df.where(F.col("date") >= F.lit(start))
     if end is not None:
@@ -46,6 +44,33 @@ def read(
     return df.select(*columns) if columns else df
 
 
+def _read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """CSV columns by the names in the header, not by position; absent ones are NULL.
+
+    Files of one table must agree on their header; one that differs raises.
+    """
+    texts = spark.read.options(
+        header=True,
+        enforceSchema=False,
+        multiLine=True,
+        quote='"',
+        escape='"',
+        emptyValue="",
+        nullValue="\\N",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(path)
+    found = set(texts.columns)
+    return texts.select(
+        *[
+            F.col(f.name).try_cast(f.dataType).alias(f.name)
+            if f.name in found
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )
+
+
 def read_day(
     spark: SparkSession, path: str, schema: str, day: dt.date | None = None, fmt: str = "csv"
 ) -> DataFrame:
