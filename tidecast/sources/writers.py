@@ -53,7 +53,9 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, on: list[str]) -> Data
 def upsert(new: DataFrame, existing: DataFrame, on: list[str]) -> DataFrame:
     """The new rows, and the stored rows whose key is not among them.
 
-    One row per key on each side. One aggregation over the union: the newer row wins.
+    One row per key on each side. One aggregation over the union: the newer row wins. For
+    a large dated table, pass the stored days the new rows touch and write the result with
+    ``write_daily``, which replaces those days only.
     """
     values = [c for c in existing.columns if c not in on]
     both = existing.withColumn("_newer", F.lit(0)).unionByName(new.withColumn("_newer", F.lit(1)))
