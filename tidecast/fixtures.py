@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.functions import reltime, text
+from tidecast.functions import reltime
 from tidecast.operators import series
 
 SOURCES = ["twitter", "cnn", "bitcoin_news", "twitter_influencers"]
@@ -363,7 +363,3 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def words(df: DataFrame) -> DataFrame:
     """Articles with their text as ``content``."""
     return df.withColumn("content", F.coalesce("article", F.lit("")))
-
-
-def word_count(column: str) -> Column:
-    return F.size(text.tokens(F.col(column)))
