@@ -257,7 +257,8 @@ def batch_infer(
     """Score rows in Arrow batches with any Python model.
 
     ``load`` runs once per task and returns the function applied to every batch, so a
-    network's weights are read once and not per batch.
+    network's weights are read once and not per batch. Workers must be able to import what
+    it refers to, or it must be defined inside a function and so travel whole.
     """
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

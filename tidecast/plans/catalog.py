@@ -827,18 +827,20 @@ def text_polarity(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("doc_id", "aspect", label.alias("polarity"))
 
 
-def _length_model() -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """A stand-in network: the logistic of the text's length."""
+@query
+def batch_infer(spark: SparkSession, d: str) -> DataFrame:
+    def load() -> Callable[[pd.DataFrame], pd.DataFrame]:
+        """A stand-in network: the logistic of the text's length.
 
-    def score(batch: pd.DataFrame) -> pd.DataFrame:
-        size = batch["content"].str.len().to_numpy(dtype=float)
-        chance = 1.0 / (1.0 + np.exp(-(size - 1000.0) / 1000.0))
-        return pd.DataFrame({"doc_id": batch["doc_id"], "p": np.round(chance, 6)})
+        Defined in place, so it travels to the workers whole.
+        """
 
-    return score
+        def score(batch: pd.DataFrame) -> pd.DataFrame:
+            size = batch["content"].str.len().to_numpy(dtype=float)
+            chance = 1.0 / (1.0 + np.exp(-(size - 1000.0) / 1000.0))
+            return pd.DataFrame({"doc_id": batch["doc_id"], "p": np.round(chance, 6)})
 
+        return score
 
-@query
-def batch_infer(spark: SparkSession, d: str) -> DataFrame:
     rows = fx.words(fx.articles(spark, d)).select("doc_id", "content")
-    return sentiment.batch_infer(rows, _length_model, "doc_id long, p double")
+    return sentiment.batch_infer(rows, load, "doc_id long, p double")
