@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Callable, Iterable
 
@@ -117,40 +118,37 @@ def word_ids(path: str) -> WordIds:
     return _WORD_IDS[path]
 
 
-def arrow_rows(schema: str, rows: Callable[[dict[str, list]], Iterable[tuple]], size: int = 4096):
-    """A ``mapInArrow`` function from one that yields tuples for the columns of a batch, given as lists.
-
-    Output goes out in batches of ``size`` rows, so a batch of long texts is never held twice.
-    """
+def arrow_types(schema: str):
+    """The Arrow schema of a schema string; needs the driver's session."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
+    from pyspark.sql.types import StructType
 
-    types = to_arrow_schema(_parse_datatype_string(schema))
+    return to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(batches):
-        import pyarrow as pa
 
-        def emit(block):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t.type) for c, t in zip(zip(*block), types)], schema=types
-            )
+def record_batches(types, rows: Iterable[tuple], size: int = 4096):
+    """Arrow batches of ``size`` rows each, as the rows come."""
+    import pyarrow as pa
 
-        for batch in batches:
-            block: list[tuple] = []
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                columns = {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
-                for row in rows(columns):
-                    block.append(row)
-                    if len(block) >= size:
-                        yield emit(block)
-                        block = []
-            if block:
-                yield emit(block)
+    source = iter(rows)
+    while block := list(itertools.islice(source, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*block), types)], schema=types)
 
-    return run
 
+def columns_of(batches, size: int = 256):
+    """The columns of Arrow batches as lists by name, at most ``size`` rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, size):
+            part = batch.slice(at, size)
+            yield {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
 
-def map_rows(df: DataFrame, schema: str, rows: Callable[[dict[str, list]], Iterable[tuple]]) -> DataFrame:
-    """``df`` through ``rows``, batch by batch."""
-    return df.mapInArrow(arrow_rows(schema, rows), schema)
+
+def map_rows(
+    df: DataFrame, schema: str, rows: Callable[[dict[str, list]], Iterable[tuple]], size: int = 4096
+) -> DataFrame:
+    """``df`` through ``rows``, which gets the columns of some rows as lists and yields tuples of ``schema``."""
+    types = arrow_types(schema)
+    return df.mapInArrow(
+        lambda batches: record_batches(types, (r for columns in columns_of(batches) for r in rows(columns)), size),
+        schema,
+    )

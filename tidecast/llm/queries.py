@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import sharding
+from tidecast.llm import packing, sharding, tokenbin
+from tidecast.session import scratch_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,5 +20,22 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), 24, 25)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_sharding": op1_sharding}
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    cut = packing.pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
+    return packing.pack(cut, 2048, ["doc_id", "piece"])
+
+
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as files of directly addressable codes, read back per document."""
+    path = scratch_dir(spark, "tokens")
+    tokenbin.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return tokenbin.read(spark, path)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
+    "op2_packing": op2_packing,
+    "op9_token_file": op9_token_file,
+}
 SQL: dict[str, str] = {}
