@@ -44,6 +44,37 @@ def number_rows(df: DataFrame, groups: list[str], order: list[str], name: str, p
     )
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """Connected components of the undirected ``edges`` (a, b): each node ``a`` but the least, with the least ``b``.
+
+    Alternates the large star (each larger neighbour is linked to a node's least one) and the
+    small star (smaller neighbours are), which ends after about log^2 of the longest path.
+    Every round is one written table; joins on a hot node are between a table of all edges
+    and one row per node, which Spark can split.
+    """
+
+    def least(df: DataFrame) -> DataFrame:
+        return df.groupBy("a").agg(F.min("b").alias("_least"))
+
+    def state(df: DataFrame):
+        return df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+
+    def turned(df: DataFrame, a: str, b: str) -> DataFrame:
+        return df.select(F.col(a).alias("a"), F.col(b).alias("b"))
+
+    now = staged(turned(edges, "a", "b").where("a <> b"), "edges")
+    was = None
+    while (seen := state(now)) != was:
+        was = seen
+        both = now.union(turned(now, "b", "a"))
+        large = both.join(least(both), "a").where("b > a").select("a", "b", F.least("a", "_least").alias("_to"))
+        large = staged(turned(large, "b", "_to").where("a <> b").distinct(), "edges")
+        joined = large.join(least(large), "a")
+        small = turned(joined, "b", "_least").union(turned(joined, "a", "_least"))
+        now = staged(small.where("a <> b").distinct(), "edges")
+    return now
+
+
 def crc_of_id(key: str) -> Column:
     """Unsigned crc32 of an id as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import packing, sharding, tokenbin
+from tidecast.llm import packing, sharding, simhash, tokenbin
 from tidecast.session import scratch_dir
 
 
@@ -26,6 +26,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut, 2048, ["doc_id", "piece"])
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as files of directly addressable codes, read back per document."""
     path = scratch_dir(spark, "tokens")
@@ -36,6 +41,7 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op8_simhash": op8_simhash,
     "op9_token_file": op9_token_file,
 }
 SQL: dict[str, str] = {}
