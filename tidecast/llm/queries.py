@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidecast.llm import packing, sharding, simhash, tokenbin
+from tidecast.llm import language, packing, quality, sharding, simhash, tokenbin
+from tidecast.llm.common import crc_of_id
 from tidecast.session import scratch_dir
 
 
@@ -26,6 +28,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut, 2048, ["doc_id", "piece"])
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base rules and the verdict of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -38,10 +46,20 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.read(spark, path)
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.pmod(crc_of_id("doc_id"), F.lit(5)) == 0
+    found = language.identify(docs, language.train(docs, ~held_out), keep={"held_out": held_out})
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op9_token_file": op9_token_file,
+    "op10_language": op10_language,
 }
 SQL: dict[str, str] = {}
