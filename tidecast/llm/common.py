@@ -88,55 +88,72 @@ def ascii_lower(text: str) -> bytes:
 class WordIds(dict):
     """Token ids by text unit, as little-endian unsigned 32-bit integers, from a tokenizer that splits at white space.
 
-    Two generations of at most ``limit`` units bound the memory; a unit that leaves is
-    encoded again when it returns, so the ids never depend on the bound.
+    The new units of a text are encoded in one call, with a separator between them that has a
+    token of its own. Two generations of at most ``limit`` units bound the memory; a unit that
+    leaves is encoded again when it returns, so the ids never depend on the bound.
     """
 
-    TAIL = ",.;:!?"
-
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
         self.old: dict[str, bytes] = {}
+        keeps_space = len(self._ids("\n")) > 0
+        # A line break where the tokenizer keeps white space, else a digit, which stands alone in its pattern.
+        self.between = "\n" if keeps_space else " 0 "
+        self.mark = self._ids("\n" if keeps_space else "0")[0]
+        self.fits = re.compile(r" ?\S(?:[^\n]*\S)?" if keeps_space else r" ?[^\s0](?:[^\n0]*[^\s0])?").fullmatch
 
-    def __missing__(self, unit: str) -> bytes:
+    def _ids(self, text: str):
         import numpy as np
 
-        found = self.old.pop(unit, None)
-        if found is None:
-            word = unit.rstrip(self.TAIL)
-            if word != unit and word and word[-1].isalnum():
-                found = self[word] + self[unit[len(word) :]]
-            else:
-                ids = self.tokenizer.encode(unit, add_special_tokens=False).ids
-                found = np.array(ids, dtype="<u4").tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def learn(self, new: set[str]) -> dict[str, bytes]:
+        """The ids of units that are not among the latest."""
+        found = {u: self.old[u] for u in new if u in self.old} if self.old else {}
+        joint = [u for u in new if u not in found and self.fits(u)]
+        if joint:
+            ids = self._ids(self.between.join(joint))
+            stops = (ids == self.mark).nonzero()[0].tolist()
+            if len(stops) == len(joint) - 1:
+                raw = ids.tobytes()
+                spans = zip([0, *[4 * x + 4 for x in stops]], [*[4 * x for x in stops], len(raw)])
+                found.update(zip(joint, [raw[a:b] for a, b in spans]))
+        for unit in new:
+            if unit not in found:
+                found[unit] = self._ids(unit).tobytes()
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
-        self[unit] = found
+        self.update(found)
         return found
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text; equal to encoding it in one call."""
-        return b"".join(map(self.__getitem__, units(text)))
+        cut = units(text)
+        ids = list(map(self.get, cut))
+        if None in ids:
+            new = self.learn({u for u, known in zip(cut, ids) if known is None})
+            ids = [new[u] if known is None else known for u, known in zip(cut, ids)]
+        return b"".join(ids)
 
 
-_PAIR = re.compile(r"\s\s")
+_PAIR = re.compile(r"\s\s|^\s|\s$")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
 def units(text: str) -> list[str]:
-    """A text cut before each lone space or line break that stands between two other characters.
+    """A text cut around each lone line break, and before each lone space, that stands between two other characters.
 
     The tokenizers' own patterns never join characters across such a place, so the units can
     be encoded one by one. Runs of white space stay inside a unit.
     """
     if "\0" in text or _PAIR.search(text):
         return _CUT.split(text)
-    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
 
 _WORD_IDS: dict[str, WordIds] = {}
