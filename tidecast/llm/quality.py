@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tidecast.llm import crf
 from tidecast.llm.common import map_rows
-from tidecast.llm.language import sample_rows
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -103,16 +102,20 @@ def train(
     sample: int = 2000,
     longest: int = 20_000,
 ) -> Model | None:
-    """A model from at most ``sample`` labelled texts of at most ``longest`` characters; None if there are none.
+    """A model from at most ``sample`` labelled texts; None if there are none.
+
+    The sample is the ``sample`` labelled keys of smallest hash, without texts over
+    ``longest`` characters; only this list of keys is broadcast.
 
     The lines of a good text (label 1) are content, those of a bad one boilerplate. A key
     with two labels counts as good if any is; rows without a label are not learned from.
     """
     marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(
-        marks.agg(F.max(label).cast("int").alias("_label")), "_key"
-    )
-    found = sorted((r["_key"], r["_text"], r["_label"]) for r in sample_rows(rows, sample, longest))
+    marks = marks.agg(F.max(label).cast("int").alias("_label"))
+    chosen = marks.orderBy(F.xxhash64(F.col("_key").cast("string")), "_key").limit(sample)
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
+    rows = rows.where(F.char_length("_text").between(1, longest)).limit(sample)
+    found = sorted((r["_key"], r["_text"], r["_label"]) for r in rows.collect())
     lines = [(lines_of(whole.encode("utf-8", "replace"))[0], int(own > 0)) for _, whole, own in found]
     lines = [x for x in lines if len(x[0])]
     if not lines:
