@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import language, packing, quality, sharding, simhash, tokenbin
+from tidecast.llm import decontam, language, packing, quality, sharding, simhash, substring, tokenbin
 from tidecast.llm.common import crc_of_id
 from tidecast.session import scratch_dir
 
@@ -28,6 +28,17 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut, 2048, ["doc_id", "piece"])
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with passages that lie in another one, or came before, cut out."""
+    found = substring.dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "removed", F.size("removed").alias("n_removed"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a document and a benchmark item that it contains."""
+    return decontam.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base rules and the verdict of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -57,9 +68,32 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_decontamination": op4_decontamination,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op9_token_file": op9_token_file,
     "op10_language": op10_language,
 }
-SQL: dict[str, str] = {}
+_SHINGLES = """
+    SELECT DISTINCT {id}, array_to_string(w[i:i+4], ' ') AS shingle
+    FROM (
+        SELECT {id}, w, unnest(range(1, len(w) - 3)) AS i
+        FROM (
+            SELECT {id}, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w
+            FROM {table}
+        )
+    )
+"""
+
+SQL: dict[str, str] = {
+    "op4_decontamination": f"""
+WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
+b AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
+n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_shared, count(*) / n_shingles AS containment
+FROM d JOIN b USING (shingle) JOIN n USING (item_id)
+GROUP BY doc_id, item_id, n_shingles
+HAVING count(*) >= 0.8 * n_shingles
+""",
+}
