@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import decontam, language, packing, quality, sharding, simhash, substring, tokenbin
+from tidecast.llm import decontam, language, packing, quality, sharding, simhash, substring, suffixlm, tokenbin
 from tidecast.llm.common import crc_of_id
 from tidecast.session import scratch_dir
 
@@ -39,6 +39,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every document, learned from those outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.pmod(crc_of_id("doc_id"), F.lit(7)) == 2
+    tree, counts = suffixlm.train(docs, ~held_out)
+    return suffixlm.score(docs, tree, counts, held_out)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base rules and the verdict of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -70,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_suffix_lm": op5_suffix_lm,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op9_token_file": op9_token_file,
