@@ -100,7 +100,7 @@ class WordIds(dict):
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
         self.old: dict[str, bytes] = {}
-        keeps_space = len(self._ids("\n")) > 0
+        self.keeps_space = keeps_space = len(self._ids("\n")) > 0
         # A line break where the tokenizer keeps white space, else a digit, which stands alone in its pattern.
         self.between = "\n" if keeps_space else " 0 "
         self.mark = self._ids("\n" if keeps_space else "0")[0]
@@ -133,7 +133,7 @@ class WordIds(dict):
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text; equal to encoding it in one call."""
-        cut = units(text)
+        cut = units(text, self.keeps_space)
         ids = list(map(self.get, cut))
         if None in ids:
             new = self.learn({u for u, known in zip(cut, ids) if known is None})
@@ -141,19 +141,31 @@ class WordIds(dict):
         return b"".join(ids)
 
 
-_PAIR = re.compile(r"\s\s|^\s|\s$")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: A comma or stop that touches anything but Latin letters and digits before it, or another mark behind it, is not cut off.
+_MARKS = re.compile("[^A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][.,]|[.,][^\\w\\s]|[.,]_")
 
 
-def units(text: str) -> list[str]:
-    """A text cut around each lone line break, and before each lone space, that stands between two other characters.
+def units(text: str, keeps_space: bool) -> list[str]:
+    """A text cut where the tokenizers' own patterns never join characters, so that units can be encoded one by one.
 
-    The tokenizers' own patterns never join characters across such a place, so the units can
-    be encoded one by one. Runs of white space stay inside a unit.
+    That is around each lone line break, before each lone space, and before a comma or stop
+    that follows a letter or digit. Runs of white space stay inside a unit. For a tokenizer
+    that drops white space and case, the units have neither.
     """
-    if "\0" in text or _PAIR.search(text):
+    flat = text.replace("\n", " ")
+    if "\0" in text or flat != " ".join(flat.split()):
         return _CUT.split(text)
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    marks = not _MARKS.search(text)
+    if keeps_space:
+        if marks:
+            text = text.replace(",", "\0,").replace(".", "\0.")
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    if "\u03a3" not in flat and "\u0130" not in flat:
+        flat = flat.lower()
+    if marks:
+        flat = flat.replace(",", " ,").replace(".", " .")
+    return flat.split()
 
 
 _WORD_IDS: dict[str, WordIds] = {}
