@@ -93,7 +93,7 @@ class WordIds(dict):
     leaves is encoded again when it returns, so the ids never depend on the bound.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -136,8 +136,10 @@ class WordIds(dict):
         cut = units(text, self.keeps_space)
         ids = list(map(self.get, cut))
         if None in ids:
-            new = self.learn({u for u, known in zip(cut, ids) if known is None})
-            ids = [new[u] if known is None else known for u, known in zip(cut, ids)]
+            missing = [at for at, known in enumerate(ids) if known is None]
+            new = self.learn({cut[at] for at in missing})
+            for at in missing:
+                ids[at] = new[cut[at]]
         return b"".join(ids)
 
 
