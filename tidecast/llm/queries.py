@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import decontam, language, packing, quality, sharding, simhash, substring, suffixlm, tokenbin
+from tidecast.llm import decontam, language, packing, quality, sharding, simhash, substring, suffixlm, tokenbin, urls
 from tidecast.llm.common import crc_of_id
 from tidecast.session import scratch_dir
 
@@ -47,6 +47,12 @@ def op5_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixlm.score(docs, tree, counts, held_out)
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule and the verdict of every page's URL."""
+    block = ["example.org/es/", "example.org/en/1", "com/de/"]
+    return urls.judge(_table(spark, sf_dir, "pages"), ["org/", "com/fr/"], block)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base rules and the verdict of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_suffix_lm": op5_suffix_lm,
+    "op6_url_filter": op6_url_filter,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op9_token_file": op9_token_file,
