@@ -332,3 +332,10 @@ def test_batches_kept_apart_and_stored_days_skipped(spark, rows, tmp_path):
     writers.write_daily(df, path, batch="second")
     assert spark.read.parquet(path).groupBy("batch").count().count() == 2
     assert rows(writers.skip_stored_days(df, prices(spark, 9.0)), "date") == [(day(2),)]
+
+
+def test_page_parsing_takes_any_legal_html(spark):
+    html = "<H1 class='x'>Up&#8217;s &#x1F680;</H1><P>One &#38; two</P><p>three&mdash;</p>"
+    page = spark.createDataFrame([(html,)], "html string")
+    got = page.select(text.page_headline(F.col("html")), text.page_paragraphs(F.col("html"))).first()
+    assert tuple(got) == ("Up\u2019s \U0001f680", "One & two\nthree&mdash;")

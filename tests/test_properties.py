@@ -39,7 +39,7 @@ def test_top_n_in_two_rounds_is_the_plain_top_n(skewed, rows):
 def test_numbering_by_pieces_is_the_plain_row_number(skewed, rows):
     plain = Window.partitionBy("k").orderBy("date", "id")
     expected = skewed.withColumn("rn", F.row_number().over(plain))
-    got = skew.number_rows(skewed, ["k"], "date", "id", block=37)
+    got = skew.number_rows(skewed, ["k"], "date", "id", pieces=7)
     assert rows(got, "id", "rn") == rows(expected, "id", "rn")
 
 

@@ -29,14 +29,24 @@ def test_ingest_in_batches_with_redelivery_and_restart(spark, sf_dir, rows, tmp_
     assert rows(spark.read.parquet(path), "event_id") == rows(expected, "event_id")
 
 
+def test_a_fresh_checkpoint_stores_nothing_twice(spark, sf_dir, rows, tmp_path):
+    source, path = f"{tmp_path}/drops", f"{tmp_path}/table"
+    drops(spark, sf_dir, source, 1, 5)
+    for state in ("first", "second"):
+        stream = arrivals.arrivals(spark, source, SCHEMA, files_per_batch=1)
+        arrivals.ingest(stream, "event_id", path, f"{tmp_path}/{state}")
+    expected = fx.table(spark, sf_dir, "events").where(F.to_date("ts").between(day(1), day(5)))
+    assert rows(spark.read.parquet(path), "event_id") == rows(expected, "event_id")
+
+
 def test_late_rows_update_the_counts(spark, sf_dir, rows, tmp_path):
     source, path, checkpoint = (f"{tmp_path}/{n}" for n in ("drops", "table", "state"))
     for first, last in ((1, 3), (3, 4), (4, 6)):
         drops(spark, sf_dir, source, first, last)
         stream = arrivals.arrivals(spark, source, SCHEMA)
-        arrivals.daily_counts(stream, ["event_type"], path, checkpoint, delay="5 days")
-    got = arrivals.latest_counts(spark.read.parquet(path), ["event_type"])
-    delivered = spark.read.schema(SCHEMA).parquet(source)
+        arrivals.daily_counts(stream, ["event_type"], "event_id", path, checkpoint)
+    got = spark.read.parquet(f"{path}/counts").select("date", "event_type", "n")
+    delivered = spark.read.schema(SCHEMA).parquet(source).dropDuplicates(["event_id"])
     expected = delivered.groupBy(F.to_date("ts").alias("date"), "event_type").agg(F.count("*").alias("n"))
     assert rows(got) == rows(expected)
 

@@ -101,7 +101,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "ts",
         F.to_date("ts").alias("date"),
-        F.concat(F.lit("s"), F.col("user_id") % 3).alias("series_id"),
+        F.concat(F.lit("s"), F.col("user_id")).alias("series_id"),
         F.col("user_id").alias("author"),
         "value",
         _case("event_id % 4", dict(enumerate(SOURCES))).alias("media"),
@@ -166,7 +166,7 @@ def trends(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .where(F.col("event_type") == "view")
         .select(
-            F.concat(F.lit("s"), F.col("user_id") % 3).alias("series_id"),
+            F.concat(F.lit("s"), F.col("user_id")).alias("series_id"),
             F.to_date("ts").alias("date"),
         )
         .groupBy("series_id", "date")

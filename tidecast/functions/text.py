@@ -134,12 +134,29 @@ def three_lines(text: Column) -> Column:
 
 def _visible(html: Column) -> Column:
     broken = F.regexp_replace(html, r"(?i)<br\s*/?>", "\n")
-    return F.trim(replace_all(F.regexp_replace(broken, r"<[^>]*>", ""), HTML_ENTITIES))
+    return F.trim(replace_all(_numbered(F.regexp_replace(broken, r"<[^>]*>", "")), HTML_ENTITIES))
+
+
+def _numbered(html: Column) -> Column:
+    """Numeric entities, decimal or hexadecimal, as the characters they stand for."""
+    pattern = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+    codes = F.array_distinct(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)))
+
+    def shown(code: Column) -> Column:
+        number = F.when(F.lower(code).startswith("x"), F.conv(F.substring(code, 2, 6), 16, 10)).otherwise(code)
+        number = number.cast("long")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        letter = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.when(valid, letter).otherwise("\ufffd")
+
+    return F.aggregate(
+        codes, html, lambda text, code: F.replace(text, F.concat(F.lit("&#"), code, F.lit(";")), shown(code))
+    )
 
 
 def page_headline(html: Column) -> Column:
     """Visible text of the first ``h1``."""
-    return _visible(F.regexp_extract(html, r"(?s)<h1[^>]*>(.*?)</h1>", 1))
+    return _visible(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1))
 
 
 def page_paragraphs(html: Column) -> Column:
@@ -148,8 +165,8 @@ def page_paragraphs(html: Column) -> Column:
     An opening ``<p>`` ends the paragraph before it, closed or not, so the page is
     split at the opening tags.
     """
-    body = F.regexp_replace(html, r"(?s)<(script|style)[^>]*>.*?</(script|style)>", "")
-    pieces = F.split(body, r"<p(?:\s[^>]*)?>")
+    body = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", "")
+    pieces = F.split(body, r"(?i)<p(?:\s[^>]*)?>")
     after = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    texts = F.transform(after, lambda p: _visible(F.substring_index(p, "</p>", 1)))
+    texts = F.transform(after, lambda p: _visible(F.regexp_replace(p, r"(?is)</p\s*>.*$", "")))
     return cut_at(F.array_join(texts, "\n"))

@@ -34,32 +34,14 @@ def sample_per_day(
 ) -> DataFrame:
     """At most ``n`` rows per group and day, uniform, without replacement, repeatable.
 
-    The order is a hash of the row id, so a retried task draws the same rows. A first pass
-    over the ids alone counts rows per leading hash digits; from the counts follows, per
-    group, beyond which digits no row can be among the first ``n``. Only the rows before
-    that, little more than ``n`` per group, are read in full, shuffled and ranked.
+    The order is a hash of the row id, so a retried task draws the same rows. Ids are ranked
+    without the rest of their rows; the chosen ids then fetch the rows by a semi-join. A row
+    id is unique, so neither step depends on how large a day is, and no text is moved by day.
     """
     order = F.md5(F.concat(F.lit(f"{seed}-"), F.col(row_id).cast("string")))
-    bucket = F.substring(order, 1, 3)
-    upto = Window.partitionBy(*keys, "date").orderBy("_bucket")
-    counted = (
-        df.select(*keys, "date", bucket.alias("_bucket"))
-        .groupBy(*keys, "date", "_bucket")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_total", F.sum("_n").over(upto))
-    )
-    last = (
-        counted.where(F.col("_total") >= n)
-        .groupBy(*keys, "date")
-        .agg(F.min("_bucket").alias("_last"))
-    )
-    near = (
-        df.join(last, [*keys, "date"], "left")
-        .where(F.col("_last").isNull() | (bucket <= F.col("_last")))
-        .drop("_last")
-        .select(*df.columns)
-    )
-    return top_n_per_group(near, [*keys, "date"], [order, F.col(row_id)], n, row_id)
+    ids = df.select(*keys, "date", row_id)
+    chosen = top_n_per_group(ids, [*keys, "date"], [order, F.col(row_id)], n, row_id)
+    return df.join(chosen.select(row_id), row_id, "left_semi").select(*df.columns)
 
 
 def expand_aspects(
@@ -106,12 +88,11 @@ def records(df: DataFrame, keys: list[str], weight: str | None = None) -> DataFr
     return wide.select(*keys, "date", "total_docs", nested.alias("sentiment"))
 
 
-def flatten_records(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Sentiment maps back to long rows ``(keys, date, aspect, polarity, n)``."""
-    by_aspect = df.select(*keys, "date", F.explode("sentiment").alias("aspect", "_polarities"))
-    return by_aspect.select(
-        *keys, "date", "aspect", F.explode("_polarities").alias("polarity", "n")
-    )
+def flatten_records(df: DataFrame, keys: list[str], carry: list[str] | None = None) -> DataFrame:
+    """Sentiment maps back to long rows ``(keys, date, aspect, polarity, n)``, with the columns ``carry``."""
+    held = [*keys, "date", *(carry or [])]
+    by_aspect = df.select(*held, F.explode("sentiment").alias("aspect", "_polarities"))
+    return by_aspect.select(*held, "aspect", F.explode("_polarities").alias("polarity", "n"))
 
 
 def polarity_totals(df: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast.session import scratch_dir
+
 
 def top_n_per_group(
     df: DataFrame, keys: list[str], order: list[Column], n: int, row_id: str, salts: int = 32
@@ -43,30 +45,38 @@ def first_per_group(df: DataFrame, keys: list[str], order: list[Column]) -> Data
 
 
 def number_rows(
-    df: DataFrame, keys: list[str], date: str, row_id: str, block: int = 100_000, out: str = "rn"
+    df: DataFrame, keys: list[str], date: str, row_id: str, pieces: int = 64, out: str = "rn"
 ) -> DataFrame:
     """``row_number`` per key by (date, row_id) without a window over the whole key.
 
-    Rows are cut into (key, date, id block) pieces of at most ``block`` distinct ids.
-    A running sum over the piece counts gives each piece its offset, and the window
-    that orders rows stays inside one piece. ``row_id`` must be an integer, unique per
-    (key, date). Groups are matched null-safe, so a NULL key is numbered like any other.
+    Each (key, date) is cut into ``pieces`` at quantiles of its ids, so the pieces are even
+    however the ids are spaced. The cuts are stored, so that both passes use the same ones;
+    the numbers do not depend on where they lie. A running sum over the piece counts gives
+    each piece its offset, and the window that orders rows stays inside one piece.
+    ``row_id`` must be an integer, unique per (key, date). Groups are matched null-safe, so a
+    NULL key is numbered like any other.
     """
-    piece = F.struct(*keys, date, F.floor(F.col(row_id) / block).alias("_block"))
-    pieces = df.withColumn("_piece", piece)
+    spark = df.sparkSession
+    group = F.struct(*keys, date)
+    path = scratch_dir(spark, "cuts")
+    quantiles = F.percentile_approx(row_id, [k / pieces for k in range(1, pieces)], 1000)
+    df.groupBy(group.alias("_group")).agg(quantiles.alias("_cuts")).write.parquet(path)
+    cut = df.withColumn("_group", group).join(spark.read.parquet(path), "_group")
+    below = F.size(F.filter("_cuts", lambda c: c < F.col(row_id)))
+    cut = cut.withColumn("_piece", F.struct(*keys, date, below.alias("_cut"))).drop("_group", "_cuts")
     earlier = (
         Window.partitionBy(*[f"_piece.{k}" for k in keys])
-        .orderBy(f"_piece.{date}", "_piece._block")
+        .orderBy(f"_piece.{date}", "_piece._cut")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        pieces.groupBy("_piece")
+        cut.groupBy("_piece")
         .agg(F.count("*").alias("_n"))
         .select("_piece", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
     inside = Window.partitionBy("_piece").orderBy(row_id)
     return (
-        pieces.join(offsets, "_piece")
+        cut.join(offsets, "_piece")
         .withColumn(out, F.row_number().over(inside) + F.col("_before"))
         .drop("_piece", "_before")
     )
@@ -79,24 +89,18 @@ def spread_join(
     lookup_key: str,
     row_id: str,
     how: str = "left",
-    salts: int = 16,
 ) -> DataFrame:
-    """Join a large fact table with a lookup, safe for hot keys; left, inner or semi.
+    """Join a fact table with a lookup; left, inner or semi.
 
-    Facts of one key are spread over ``salts`` join buckets and the lookup is repeated
-    in each of them. Facts with a NULL key match nothing, so they are spread over many
-    buckets instead of meeting in one. No broadcast is forced: Spark broadcasts the
-    lookup when its size is under the session's threshold and sort-merges otherwise, with
-    the adaptive skew split on top for a bucket that is still too large.
+    Facts with a NULL key match nothing, so they are spread over many join buckets instead of
+    meeting in one. The lookup is not repeated: Spark broadcasts it when its own size is
+    under the session's threshold and sort-merges otherwise, with the adaptive skew split
+    for a hot key.
     """
-    spread = F.xxhash64(row_id)
-    bucket = F.when(F.col(fact_key).isNull(), F.pmod(spread, F.lit(4096))).otherwise(
-        F.pmod(spread, F.lit(salts))
-    )
+    spread = F.pmod(F.xxhash64(row_id), F.lit(4096)) + 1
+    bucket = F.when(F.col(fact_key).isNull(), spread).otherwise(0)
     left = facts.withColumn("_bucket", bucket.cast("int"))
-    right = lookup.withColumnRenamed(lookup_key, "_lookup_key").withColumn(
-        "_lookup_bucket", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    right = lookup.withColumnRenamed(lookup_key, "_lookup_key").withColumn("_lookup_bucket", F.lit(0))
     matched = (F.col(fact_key) == F.col("_lookup_key")) & (
         F.col("_bucket") == F.col("_lookup_bucket")
     )

@@ -185,8 +185,7 @@ def _stored_records(spark: SparkSession, d: str) -> str:
 @query
 def sentiment_record(spark: SparkSession, d: str) -> DataFrame:
     stored = daily.read(spark, _stored_records(spark, d), daily.SENTIMENT_SCHEMA)
-    rows = sentiment.flatten_records(stored, ["media"])
-    return rows.join(stored.select("media", "date", "total_docs"), ["media", "date"])
+    return sentiment.flatten_records(stored, ["media"], ["total_docs"])
 
 
 @query
@@ -236,10 +235,9 @@ def sentiment_extraction(spark: SparkSession, d: str) -> DataFrame:
         return sentiment.lexicon_polarity(rows, ["doc_id", "media", "date"], fx.lexicon(spark))
 
     records = daily_job.extract_sentiment(
-        fx.articles(spark, d), ["media"], "doc_id", 25, relevant, classified, ["twitter"]
+        fx.articles(spark, d), ["media"], "doc_id", relevant, classified, ["twitter"]
     )
-    rows = sentiment.flatten_records(records, ["media"])
-    return rows.join(records.select("media", "date", "total_docs"), ["media", "date"])
+    return sentiment.flatten_records(records, ["media"], ["total_docs"])
 
 
 # Influence ----------------------------------------------------------------------
@@ -264,8 +262,7 @@ def posts_by_influencers(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def influence_score(spark: SparkSession, d: str) -> DataFrame:
-    listed = influence.top(fx.influencers(spark, d), 300)
-    scored = influence.score(listed, fx.order_posts(spark, d), KEY)
+    scored = influence.score(fx.influencers(spark, d), fx.order_posts(spark, d), KEY)
     return _rounded(scored, "influence_score", digits=4)
 
 
@@ -732,8 +729,8 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
 @query
 def stream_daily_counts(spark: SparkSession, d: str) -> DataFrame:
     path, checkpoint = scratch_dir(spark, "counted"), scratch_dir(spark, "count-state")
-    arrivals.daily_counts(_drops(spark, d), ["event_type"], path, checkpoint)
-    return arrivals.latest_counts(spark.read.parquet(path), ["event_type"])
+    arrivals.daily_counts(_drops(spark, d), ["event_type"], "event_id", path, checkpoint)
+    return spark.read.parquet(f"{path}/counts").select("date", "event_type", "n")
 
 
 @query

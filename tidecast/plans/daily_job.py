@@ -24,21 +24,23 @@ def extract_sentiment(
     articles: DataFrame,
     keys: list[str],
     row_id: str,
-    sample_size: int,
     relevant: RowFilter,
     classify: RowFilter,
     untitled: list[str] | None = None,
+    sample_size: int | None = None,
 ) -> DataFrame:
     """Daily sentiment records of every source and day.
 
     ``relevant`` keeps the rows worth classifying; ``classify`` returns one row per text
-    and aspect with its ``polarity``. The sample bounds their cost and comes first. The
-    document count is of all texts; a day without relevant texts has no record.
+    and aspect with its ``polarity``. All texts are classified unless ``sample_size`` bounds
+    their number per source and day. The document count is of all texts; a day without
+    relevant texts has no record.
     """
     totals = articles.groupBy(*keys, "date").agg(F.count("*").alias("total_docs"))
     texts = sentiment.content(articles, untitled).select(row_id, *keys, "date", "content")
-    sampled = sentiment.sample_per_day(texts, keys, sample_size, row_id)
-    cleaned = sampled.withColumn("content", text.normalize(F.col("content")))
+    if sample_size is not None:
+        texts = sentiment.sample_per_day(texts, keys, sample_size, row_id)
+    cleaned = texts.withColumn("content", text.normalize(F.col("content")))
     found = sentiment.records(classify(relevant(cleaned)), keys).drop("total_docs")
     return found.join(totals, [*keys, "date"])
 

@@ -66,7 +66,7 @@ LEXICON = ", ".join(f"({_quoted(t)}, {_quoted(a)}, {w})" for t, a, w in fx.LEXIC
 # Views, each using only tables and the views above it.
 VIEWS = {
     "fx_posts": f"""
-        SELECT event_id, ts, CAST(ts AS DATE) AS date, 's' || (user_id % 3) AS series_id,
+        SELECT event_id, ts, CAST(ts AS DATE) AS date, 's' || user_id AS series_id,
                user_id AS author, value,
                {_case("event_id % 4", dict(enumerate(fx.SOURCES)))} AS media,
                {_case("event_type", {"click": "ECONOMY", "view": "TECHNOLOGY",
@@ -97,7 +97,7 @@ VIEWS = {
                max_by(o_totalprice, o_orderkey) AS close_price
         FROM orders GROUP BY ALL""",
     "fx_views": """
-        SELECT 's' || (user_id % 3) AS series_id, CAST(ts AS DATE) AS date, count(*) AS views
+        SELECT 's' || user_id AS series_id, CAST(ts AS DATE) AS date, count(*) AS views
         FROM events WHERE event_type = 'view' GROUP BY ALL""",
     "fx_trends": """
         SELECT series_id, date,
@@ -157,9 +157,7 @@ VIEWS = {
             FROM (SELECT doc_id, media, date,
                          CASE WHEN media = 'twitter' THEN article ELSE title || ' ' || article END
                              AS content
-                  FROM fx_articles
-                  QUALIFY row_number() OVER (PARTITION BY media, date
-                      ORDER BY md5('42-' || doc_id), doc_id) <= 25))
+                  FROM fx_articles))
         WHERE contains(lower(content), 'the')""",
     "fx_words": f"""
         SELECT doc_id, {_tokens("lower(article)")} AS tokens FROM fx_articles""",
@@ -430,7 +428,7 @@ BODIES = {
         SELECT * FROM fx_order_posts WHERE author IN (SELECT handle FROM fx_listed)""",
     "influence_score": """
         SELECT series_id, date, round(coalesce(sum(rank), 0.0), 4) + 0.0 AS influence_score
-        FROM fx_order_posts LEFT JOIN fx_listed ON author = handle GROUP BY ALL""",
+        FROM fx_order_posts LEFT JOIN fx_influencers ON author = handle GROUP BY ALL""",
     "flatten_pages": """
         SELECT 'post' AS kind, CAST(o_orderkey AS VARCHAR) AS id, 'order ' || o_orderkey AS article
         FROM orders
@@ -637,9 +635,7 @@ BODIES = {
     "publish_tables": "SELECT * FROM fx_trends JOIN fx_close USING (series_id, date)",
     "stream_ingest": _EVENTS,
     "stream_daily_counts": """
-        SELECT CAST(ts AS DATE) AS date, event_type,
-               count(*) + count(*) FILTER (CAST(ts AS DATE) = DATE '2024-01-15') AS n
-        FROM events GROUP BY ALL""",
+        SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events GROUP BY ALL""",
     "stream_dedup": _EVENTS,
     "batch_infer": """
         SELECT doc_id, round(1.0 / (1.0 + exp(-(length(article) - 1000.0) / 1000.0)), 6) AS p
