@@ -34,12 +34,14 @@ class _Steps:
         return slice(self.first[t], self.first[t] + (self.running[t] if running is None else running))
 
 
-def marginals(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward-backward: each item's label probabilities, and the expected counts of label pairs."""
+def marginals(
+    scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, pairs: bool = True
+) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward: each item's label probabilities, and the expected counts of label pairs (zero if not wanted)."""
     steps = _Steps(lengths)
     e = steps.spread(np.exp(scores - scores.max(axis=1, keepdims=True, initial=-1e9)))
     a, alpha, beta = np.exp(moves), np.empty_like(e), np.ones_like(e)
-    pairs = np.zeros_like(a)
+    expected = np.zeros_like(a)
     for t, n in enumerate(steps.running):
         now = steps.at(t)
         alpha[now] = e[now] if not t else (alpha[steps.at(t - 1, n)] @ a) * e[now]
@@ -48,12 +50,13 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tup
         n = steps.running[t]
         ahead = e[steps.at(t)] * beta[steps.at(t)]
         back = ahead @ a.T
-        before = alpha[steps.at(t - 1, n)]
-        pairs += (before / (before * back).sum(axis=1, keepdims=True)).T @ ahead
+        if pairs:
+            before = alpha[steps.at(t - 1, n)]
+            expected += (before / (before * back).sum(axis=1, keepdims=True)).T @ ahead
         beta[steps.at(t - 1, n)] = back / back.sum(axis=1, keepdims=True)
     alpha *= beta
     alpha /= alpha.sum(axis=1, keepdims=True)
-    return alpha[steps.place], pairs * a
+    return alpha[steps.place], expected * a
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.ndarray:

@@ -7,7 +7,6 @@ whole text, so a text may change its language on the way.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
@@ -18,7 +17,8 @@ from pyspark.sql import functions as F
 from tidecast.llm import crf
 from tidecast.llm.common import columns_of, arrow_types, record_batches
 
-FEATURES = 1 << 16
+FEATURE_BITS = 16
+FEATURES = 1 << FEATURE_BITS
 NONE = "und"
 
 
@@ -37,14 +37,44 @@ def letters(token: str) -> str:
     return token.lower() if token.isalpha() else "".join(filter(str.isalpha, token)).lower()
 
 
-def features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Hashed features of a word of letters."""
-    whole = f"^{word}$"
-    names = {f"p{word[:n]}" for n in (1, 2, 3, 4)} | {f"s{word[-n:]}" for n in (1, 2, 3, 4)}
-    names |= {whole[i : i + n] for n in (1, 2, 3) for i in range(min(len(whole), 64) - n + 1)}
-    if word in lexicon:
-        names.add(f"lexicon {lexicon[word]}")
-    return sorted({zlib.crc32(x.encode("utf-8", "replace")) % FEATURES for x in names})
+def features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of words of letters: pairs of a word's number and a feature.
+
+    They are a word's character n-grams of one to three, with its ends marked, its affixes of
+    up to four letters, and the language of its lexicon entry. All words are hashed at once.
+    """
+    text = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "replace"), "<u4").astype("uint64")
+    sizes = np.fromiter(map(len, words), "int64", len(words)) + 2
+    ends = np.cumsum(sizes)
+    starts, owner = ends - sizes, np.repeat(np.arange(len(words)), sizes)
+    room = np.repeat(ends, sizes) - np.arange(len(text))
+    whose, found = [], []
+
+    def add(kind: int, at: np.ndarray, hashes: np.ndarray) -> None:
+        salted = (hashes + np.uint64(kind)) * np.uint64(0x9E3779B97F4A7C15)
+        salted = (salted ^ (salted >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+        whose.append(owner[at])
+        found.append((salted >> np.uint64(64 - FEATURE_BITS)).astype("int64"))
+
+    rolled = np.zeros(len(text), "uint64")
+    for n in range(1, 5):
+        rolled[: len(text) - n + 1] = rolled[: len(text) - n + 1] * np.uint64(1_000_003) + text[n - 1 :] + np.uint64(1)
+        if n < 4:
+            at = np.flatnonzero(room >= n)
+            add(n, at, rolled[at])
+        long = sizes - 2 >= n
+        add(10 + n, starts[long] + 1, rolled[starts[long] + 1])
+        add(20 + n, ends[long] - 1 - n, rolled[ends[long] - 1 - n])
+    listed = [(k, lexicon[w]) for k, w in enumerate(words) if w in lexicon]
+    if listed:
+        number, own = np.array(listed, "int64").T
+        add(30, starts[number], own.astype("uint64") << np.uint64(8))
+    return np.concatenate(whose), np.concatenate(found)
+
+
+def scores_of(weights: np.ndarray, whose: np.ndarray, found: np.ndarray, n: int) -> np.ndarray:
+    """Label scores of ``n`` words: the sums of their features' weights."""
+    return np.stack([np.bincount(whose, weights[found, k], n) for k in range(weights.shape[1])], axis=1)
 
 
 def sample_rows(rows: DataFrame, size: int, longest: int, key: str = "_key", text: str = "_text") -> list:
@@ -87,21 +117,18 @@ def train(
             counts[word][langs.index(own)] += 1
     lexicon = {w: c.most_common(1)[0][0] for w, c in counts.items() if c.total() >= 3 and c.most_common(1)[0][1] >= 0.9 * c.total()}
     places = {w: i for i, w in enumerate(counts)}
-    own = [features(w, lexicon) for w in places]
-    sizes = np.fromiter(map(len, own), "int64", len(own))
-    flat = np.fromiter((f for fs in own for f in fs), "int64", int(sizes.sum()))
-    starts = np.cumsum(sizes) - sizes
+    whose, found = features(list(places), lexicon)
     items = np.fromiter((places[w] for words, _ in rows for w in words), "int64")
     lengths = np.array([len(words) for words, _ in rows])
     labels = np.repeat([langs.index(x) for _, x in rows], lengths)
     states = len(langs)
 
     def score(weights):
-        return np.add.reduceat(weights[flat], starts, axis=0)[items]
+        return scores_of(weights, whose, found, len(places))[items]
 
     def pull(slope):
-        by_word = [np.bincount(items, slope[:, k], len(places)) for k in range(states)]
-        return np.stack([np.bincount(flat, np.repeat(g, sizes), FEATURES) for g in by_word], axis=1)
+        by_word = np.stack([np.bincount(items, slope[:, k], len(places)) for k in range(states)], axis=1)[whose]
+        return np.stack([np.bincount(found, by_word[:, k], FEATURES) for k in range(states)], axis=1)
 
     weights, moves = crf.fit(score, pull, (FEATURES, states), labels, lengths, rounds=25, rate=0.05)
     return Model(langs, weights.astype("float32"), moves, lexicon)
@@ -112,19 +139,19 @@ class _Scores(dict):
 
     def __init__(self, model: Model):
         self.model = model
-        self.table = np.zeros((1024, len(model.langs)), "float32")
-        self.used = 1
+        self.table = np.zeros((1, len(model.langs)), "float32")
 
-    def __missing__(self, token: str) -> int:
-        word = letters(token)
-        if not word:
-            return 0
-        if self.used == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[self.used] = self.model.weights[features(word, self.model.lexicon)].sum(axis=0)
-        self[token] = self.used
-        self.used += 1
-        return self[token]
+    def learn(self, tokens: set[str]) -> None:
+        """Add the tokens that are new."""
+        own = {t: letters(t) for t in tokens if t not in self}
+        words = list(dict.fromkeys(w for w in own.values() if w))
+        if words:
+            places = {w: k + len(self.table) for k, w in enumerate(words)}
+            new = scores_of(self.model.weights, *features(words, self.model.lexicon), len(words))
+            self.table = np.concatenate([self.table, new.astype("float32")])
+            self.update((t, places[w] if w else 0) for t, w in own.items())
+        else:
+            self.update(dict.fromkeys(own, 0))
 
 
 def identify(
@@ -155,14 +182,19 @@ def identify(
 
     def run(batches):
         cache = _Scores(model) if model else None
+        moves = model.moves.astype("float32") if model else None
 
         def labelled(block):
-            lengths = np.array([len(ids) for _, ids in block])
-            items = np.concatenate([ids for _, ids in block])
-            found, _ = crf.marginals(cache.table[items], lengths, model.moves.astype("float32"))
+            tokens = [t for _, own in block for t in own]
+            cache.learn(set(tokens))
+            ids = np.fromiter(map(cache.__getitem__, tokens), "int64", len(tokens))
+            ends = np.cumsum([len(own) for _, own in block])
+            before = np.concatenate([[0], np.cumsum(ids > 0)])
+            lengths = before[ends] - before[np.concatenate([[0], ends[:-1]])]
+            shares, _ = crf.marginals(cache.table[ids[ids > 0]], lengths, moves, pairs=False)
             at = 0
             for (own, _), n in zip(block, lengths.tolist()):
-                mine = found[at : at + n]
+                mine = shares[at : at + n]
                 at += n
                 if not n:
                     yield (*own, NONE, 0.0, [])
@@ -184,14 +216,12 @@ def identify(
                     if model is None:
                         yield (*own, NONE, 0.0, [])
                         continue
-                    tokens = (whole or "").split()
-                    ids = np.fromiter(map(cache.__getitem__, tokens), "int64", len(tokens))
-                    block.append((own, ids[ids > 0]))
-                    held += len(tokens)
+                    block.append((own, (whole or "").split()))
+                    held += len(block[-1][1])
                     if held >= block_words:
                         yield from labelled(block)
                         block, held = [], 0
-                        if len(cache) > block_words // 4:
+                        if len(cache) > block_words // 2:
                             cache = _Scores(model)
             if block:
                 yield from labelled(block)
