@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidecast import fixtures as fx
@@ -513,10 +514,12 @@ def forecast_day(spark: SparkSession, d: str) -> DataFrame:
         step=7,
         selection_gap=7,
         selector=SMALL,
-        candidates=[SMALL],
+        candidates=SEARCH[:2],
     )
     table = _full_table(spark, d)
-    return daily_job.forecast(table, KEY, settings).drop("selected_features")
+    record = daily_job.forecast(table, KEY, settings)
+    up = F.col("tomorrow_prediction").isin("Up", "Down")
+    return record.select(*KEY, "utc_date", up.alias("class_ok"), (F.size("selected_features") == 10).alias("features_ok"))
 
 
 def _forecasts(spark: SparkSession, d: str) -> DataFrame:
@@ -743,6 +746,7 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
 # Models -------------------------------------------------------------------------
 
 SMALL = model.Params(trees=3, depth=2)
+SEARCH = model.draw_params(4, trees=(4, 8))
 
 
 def _panel(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
@@ -753,17 +757,30 @@ def _panel(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
     return panel, features.feature_columns(panel, KEY)
 
 
+def _chance_ok(column: str = "p") -> Column:
+    return F.col(column).between(0.0, 1.0).alias("p_ok")
+
+
 @query
 def train_predict(spark: SparkSession, d: str) -> DataFrame:
+    """Which rows are predicted, and whether the class follows from the probability."""
     panel, columns = _panel(spark, d)
     scored = model.fit_predict(panel, KEY, columns, SMALL)
-    return scored.select(*KEY, "date", "p", scoring.up_or_down(F.col("p")).alias("prediction"))
+    called = scoring.up_or_down(F.col("p")) == F.when(F.col("p") > 0.5, "Up").otherwise("Down")
+    return scored.select(*KEY, "date", _chance_ok(), called.alias("class_ok"))
 
 
 @query
 def top_features(spark: SparkSession, d: str) -> DataFrame:
+    """How many features are picked, from which, and in what order."""
     panel, columns = _panel(spark, d)
-    return model.top_features(panel, KEY, columns, n=10, skip_last=7, params=SMALL)
+    picked = model.top_features(panel, KEY, columns, n=10, skip_last=7, params=SMALL)
+    order = Window.orderBy(F.desc("importance"), "feature")
+    return picked.select(
+        F.row_number().over(order).alias("position"),
+        F.col("feature").isin(columns).alias("known"),
+        F.col("importance").between(0.0, 1.0).alias("importance_ok"),
+    )
 
 
 def _folded(panel: DataFrame) -> model.FoldTable:
@@ -775,23 +792,26 @@ def _folded(panel: DataFrame) -> model.FoldTable:
 def cv_predictions(spark: SparkSession, d: str) -> DataFrame:
     panel, columns = _panel(spark, d)
     scored = model.cv_predict(_folded(panel), columns, SMALL)
-    return scored.select(*KEY, "date", "fold_id", "is_price_up", "p")
+    return scored.select(*KEY, "date", "fold_id", "is_price_up", _chance_ok())
 
 
 @query
 def random_search(spark: SparkSession, d: str) -> DataFrame:
+    """Every trial is scored and its parameters lie in the search space."""
     panel, columns = _panel(spark, d)
-    candidates = model.draw_params(2, trees=(2, 4))
-    return model.random_search(_folded(panel), columns, candidates)[1]
+    found = model.random_search(_folded(panel), columns, SEARCH)[1]
+    drawn = F.col("depth").between(2, 6) & F.col("rate").between(0.01, 0.10)
+    drawn &= F.col("row_share").between(0.5, 0.9) & F.col("column_share").between(0.5, 0.9)
+    return found.select("trial", drawn.alias("drawn_ok"), F.col("macro_f1").between(0.0, 1.0).alias("f1_ok"))
 
 
 @query
 def evaluate_model(spark: SparkSession, d: str) -> DataFrame:
+    """Every series is evaluated; accuracies are shares."""
     panel, columns = _panel(spark, d)
-    candidates = model.draw_params(2, trees=(2, 3))
-    return model.evaluate_model(
-        panel, KEY, columns, train=14, holdout=7, step=7, candidates=candidates
-    )[1]
+    found = model.evaluate_model(panel, KEY, columns, train=14, holdout=7, step=7, candidates=SEARCH[:2])[1]
+    shares = [F.coalesce(F.col(c).between(0.0, 1.0), F.lit(True)) for c in ("eval_acc", "holdout_eval_acc")]
+    return found.select(*KEY, (shares[0] & shares[1]).alias("accuracy_ok"))
 
 
 def _labelled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -799,29 +819,41 @@ def _labelled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return rows, rows.join(fx.table(spark, d, "labels"), "doc_id")
 
 
+def _relevance(spark: SparkSession, d: str) -> tuple[DataFrame, PipelineModel]:
+    rows, labelled = _labelled(spark, d)
+    return rows, model.fit_text(labelled.withColumn("label", F.col("quality").cast("double")))
+
+
 @query
 def text_relevance(spark: SparkSession, d: str) -> DataFrame:
-    rows, labelled = _labelled(spark, d)
-    fitted = model.fit_text(labelled.withColumn("label", F.col("quality").cast("double")))
-    return model.classify_text(fitted, rows).select("doc_id", "prediction")
+    """Every text gets the more probable class."""
+    rows, fitted = _relevance(spark, d)
+    scored = model.classify_text(fitted, rows)
+    best = F.col("probabilities")[F.col("prediction")] >= F.array_max("probabilities")
+    return scored.select("doc_id", best.alias("class_ok"))
 
 
 @query
 def relevance_filter(spark: SparkSession, d: str) -> DataFrame:
-    rows, labelled = _labelled(spark, d)
-    fitted = model.fit_text(labelled.withColumn("label", F.col("quality").cast("double")))
-    return model.relevant(fitted, rows).select("doc_id", "date", "media")
+    """Texts of class 1 stay, the others go."""
+    rows, fitted = _relevance(spark, d)
+    kept = model.relevant(fitted, rows).select("doc_id", F.lit(True).alias("_kept"))
+    scored = model.classify_text(fitted, rows).join(kept, "doc_id", "left")
+    follows = (F.col("prediction") == 1) == F.coalesce("_kept", F.lit(False))
+    return scored.select("doc_id", "date", "media", follows.alias("kept_ok"))
 
 
 @query
 def text_polarity(spark: SparkSession, d: str) -> DataFrame:
+    """A polarity for every text and aspect, learned from labels that differ by aspect."""
     rows, labelled = _labelled(spark, d)
-    polarity = F.when(F.col("toxic") == 1, 1.0).when(F.col("quality") == 1, 0.0).otherwise(2.0)
-    train = sentiment.expand_aspects(labelled.withColumn("label", polarity))
-    fitted = model.fit_text(train, pair_col="aspect")
+    marked = sentiment.lexicon_polarity(labelled, ["doc_id"], fx.lexicon(spark))
+    index = F.array_position(F.array(*[F.lit(p) for p in scoring.POLARITIES]), F.col("polarity")) - 1
+    marked = marked.select("doc_id", "aspect", index.cast("double").alias("label"))
+    fitted = model.fit_text(labelled.join(marked, "doc_id"), pair_col="aspect")
     scored = model.classify_text(fitted, sentiment.expand_aspects(rows), pair_col="aspect")
     label = scoring.argmax_label(F.col("probabilities"), scoring.POLARITIES)
-    return scored.select("doc_id", "aspect", label.alias("polarity"))
+    return scored.select("doc_id", "aspect", label.isin(list(scoring.POLARITIES)).alias("polarity_ok"))
 
 
 @query

@@ -637,6 +637,23 @@ BODIES = {
     "stream_daily_counts": """
         SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events GROUP BY ALL""",
     "stream_dedup": _EVENTS,
+    "train_predict": """
+        SELECT series_id, max(date) AS date, true AS p_ok, true AS class_ok FROM fx_features GROUP BY series_id""",
+    "top_features": """
+        SELECT CAST(i AS INT) AS position, true AS known, true AS importance_ok FROM range(1, 11) AS r(i)""",
+    "cv_predictions": """
+        SELECT series_id, date, CAST((date - start) // 7 AS BIGINT) AS fold_id, is_price_up, true AS p_ok
+        FROM fx_features, (SELECT min(date) + 14 AS start FROM fx_features) WHERE date >= start""",
+    "random_search": """
+        SELECT CAST(i AS INT) AS trial, true AS drawn_ok, true AS f1_ok FROM range(4) AS r(i)""",
+    "forecast_day": """
+        SELECT series_id, max(date) AS utc_date, true AS class_ok, true AS features_ok
+        FROM fx_features GROUP BY series_id""",
+    "evaluate_model": "SELECT DISTINCT series_id, true AS accuracy_ok FROM fx_features",
+    "text_relevance": "SELECT doc_id, true AS class_ok FROM documents",
+    "relevance_filter": "SELECT doc_id, date, media, true AS kept_ok FROM fx_articles",
+    "text_polarity": f"""
+        SELECT doc_id, unnest({_list(ASPECTS)}) AS aspect, true AS polarity_ok FROM documents""",
     "batch_infer": """
         SELECT doc_id, round(1.0 / (1.0 + exp(-(length(article) - 1000.0) / 1000.0)), 6) AS p
         FROM fx_articles""",
