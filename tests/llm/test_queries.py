@@ -97,7 +97,7 @@ def test_op3_removes_repeats_and_nothing_else(run, texts):
         raw = texts[r["doc_id"]].encode()
         for span in r["removed"]:
             first = raw[span["start"] : span["end"]].decode()[:60]
-            assert whole.count(first) > 1
+            assert whole.find(first, whole.find(first) + 1) > 0
     copies = {t: [k for k in texts if texts[k] == t] for t, n in Counter(texts.values()).items() if n > 1 and len(t) > 400}
     for t, keys in copies.items():
         assert sum(len(kept[k]) > len(t) / 2 for k in keys) <= 1

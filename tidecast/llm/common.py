@@ -145,7 +145,8 @@ class WordIds(dict):
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: A comma or stop that touches anything but Latin letters and digits before it, or another mark behind it, is not cut off.
-_MARKS = re.compile("[^A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][.,]|[.,][^\\w\\s]|[.,]_")
+_LATIN = "[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]"
+_MARKS = re.compile(rf"[.,](?:(?<!{_LATIN}[.,])|[^\w\s]|_)")
 
 
 def units(text: str, keeps_space: bool) -> list[str]:
