@@ -157,7 +157,8 @@ def units(text: str, keeps_space: bool) -> list[str]:
     that drops white space and case, the units have neither.
     """
     flat = text.replace("\n", " ")
-    if "\0" in text or flat != " ".join(flat.split()):
+    # A space is the only printable white space.
+    if not flat.isprintable() or "  " in flat or " " in (flat[:1], flat[-1:]):
         return _CUT.split(text)
     marks = not _MARKS.search(text)
     if keeps_space:
