@@ -339,3 +339,14 @@ def test_page_parsing_takes_any_legal_html(spark):
     page = spark.createDataFrame([(html,)], "html string")
     got = page.select(text.page_headline(F.col("html")), text.page_paragraphs(F.col("html"))).first()
     assert tuple(got) == ("Up\u2019s \U0001f680", "One & two\nthree&mdash;")
+
+
+def test_folds_in_hours_and_their_default_start(spark):
+    rows = [(dt.datetime(2024, 1, 1, h),) for h in range(10)]
+    df = spark.createDataFrame(rows, "date timestamp_ntz")
+    start = folds.default_start(df, 4, "hours")
+    assert start == dt.datetime(2024, 1, 1, 4)
+    got = folds.assign(df, start, dt.datetime(2024, 1, 1, 9), train=4, test=3, freq="hours").collect()
+    hours = {(f, r): sorted(x["date"].hour for x in got if (x["fold_id"], x["role"]) == (f, r)) for f in (0, 1) for r in ("train", "test")}
+    assert hours == {(0, "train"): [0, 1, 2, 3], (0, "test"): [4, 5, 6], (1, "train"): [3, 4, 5, 6], (1, "test"): [7, 8, 9]}
+    assert folds.default_start(spark.createDataFrame([(day(31),)], "date date"), 1, "months") == dt.date(2024, 2, 29)

@@ -9,20 +9,28 @@ from pyspark.sql import functions as F
 
 _DAYS = {"days": 1, "weeks": 7}
 _MONTHS = {"months": 1, "years": 12}
+_SECONDS = {"hours": 3600, "minutes": 60, "seconds": 1}
 
 
-def _later(date: Column, n: int, freq: str) -> Column:
+def _later(moment: Column, n: int, freq: str) -> Column:
     if freq in _DAYS:
-        return F.date_add(date, n * _DAYS[freq])
+        return F.date_add(moment, n * _DAYS[freq])
     if freq in _MONTHS:
-        return F.add_months(date, n * _MONTHS[freq])
-    raise ValueError(f"unknown unit {freq!r}, use one of {[*_DAYS, *_MONTHS]}")
+        return F.add_months(moment, n * _MONTHS[freq])
+    if freq in _SECONDS:
+        return moment.cast("timestamp_ntz") + F.make_dt_interval(secs=F.lit(n * _SECONDS[freq]))
+    raise ValueError(f"unknown unit {freq!r}, use one of {[*_DAYS, *_MONTHS, *_SECONDS]}")
+
+
+def default_start(df: DataFrame, train: int, freq: str = "days") -> dt.date | dt.datetime:
+    """The first test date if none is given: one training period after the first date."""
+    return df.agg(_later(F.min("date"), train, freq)).first()[0]
 
 
 def table(
     spark: SparkSession,
-    first_test: dt.date,
-    last: dt.date,
+    first_test: dt.date | dt.datetime,
+    last: dt.date | dt.datetime,
     train: int,
     test: int,
     gap: int = 0,
@@ -32,10 +40,14 @@ def table(
 
     Ends are exclusive. Both windows move by ``test`` units; the last fold is the last
     one that starts on or before ``last``. Months are added step by step, so a start on
-    the 31st stays clamped once a short month has clamped it.
+    the 31st stays clamped once a short month has clamped it. Hours, minutes and seconds
+    give timestamps, the other units dates.
     """
     start = _later(F.lit(first_test), -train, freq)
-    limit = (last - first_test).days // (test * _DAYS.get(freq, 28)) + 2
+    if freq in _SECONDS:
+        limit = int((last - first_test).total_seconds()) // (test * _SECONDS[freq]) + 2
+    else:
+        limit = (last - first_test).days // (test * _DAYS.get(freq, 28)) + 2
     step_starts = F.aggregate(
         F.sequence(F.lit(1), F.lit(limit)),
         F.array(start),
@@ -52,13 +64,22 @@ def table(
 
 
 def assign(
-    df: DataFrame, first_test: dt.date, last: dt.date, train: int, test: int, gap: int = 0
+    df: DataFrame,
+    first_test: dt.date | dt.datetime,
+    last: dt.date | dt.datetime,
+    train: int,
+    test: int,
+    gap: int = 0,
+    freq: str = "days",
 ) -> DataFrame:
-    """Label rows with their folds: one output row per (row, fold, role), in days.
+    """Label rows with their folds: one output row per (row, fold, role).
 
-    Fold k trains on ``[s + k*test, s + k*test + train)``, so the folds of a row follow
-    from its date by division. The rows are exploded in place: no join, no shuffle.
+    In days, fold k trains on ``[s + k*test, s + k*test + train)``, so the folds of a row
+    follow from its date by division. In other units the fold list, which the calendar
+    bounds, is held against each date. The rows are exploded in place: no join, no shuffle.
     """
+    if freq != "days":
+        return _assign_listed(df, table(df.sparkSession, first_test, last, train, test, gap, freq))
     start = first_test - dt.timedelta(train)
     test_start = first_test + dt.timedelta(gap)
     n_folds = (last - test_start).days // test + 1 if last >= test_start else 0
@@ -79,6 +100,26 @@ def assign(
     return df.select(*df.columns, F.inline(pairs))
 
 
+def _assign_listed(df: DataFrame, listed: DataFrame) -> DataFrame:
+    bounds = listed.orderBy("fold_id").collect()
+    if not bounds:
+        return df.select(*df.columns, F.lit(0).cast("long").alias("fold_id"), F.lit("train").alias("role")).limit(0)
+    every = F.array(
+        *[
+            F.struct(
+                F.lit(int(b["fold_id"])).cast("long").alias("fold_id"),
+                F.lit(role).alias("role"),
+                F.lit(b[f"start_{role}"]).alias("start"),
+                F.lit(b[f"end_{role}"]).alias("end"),
+            )
+            for b in bounds
+            for role in ("train", "test")
+        ]
+    )
+    own = F.filter(every, lambda f: (f["start"] <= F.col("date")) & (F.col("date") < f["end"]))
+    return df.select(*df.columns, F.inline(F.transform(own, lambda f: F.struct(f["fold_id"], f["role"]))))
+
+
 def date_bounds(df: DataFrame) -> tuple[dt.date, dt.date]:
     """First and last date: two values on the driver, to lay out the fold list."""
     row = df.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()

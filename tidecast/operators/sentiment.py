@@ -233,9 +233,12 @@ def encode(
 
 
 def batch_infer(
-    df: DataFrame, load: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], schema: str
+    df: DataFrame,
+    load: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
+    schema: str,
+    batch_size: int | None = None,
 ) -> DataFrame:
-    """Score rows in Arrow batches with any Python model.
+    """Score rows with any Python model, ``batch_size`` at a time (None: whole Arrow batches).
 
     ``load`` runs once per task and returns the function applied to every batch, so a
     network's weights are read once and not per batch. Workers must be able to import what
@@ -245,6 +248,8 @@ def batch_infer(
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = load()
         for batch in batches:
-            yield predict(batch)
+            size = batch_size or max(1, len(batch))
+            for at in range(0, len(batch), size):
+                yield predict(batch.iloc[at : at + size])
 
     return df.mapInPandas(score, schema)

@@ -456,6 +456,13 @@ def rolling_folds(spark: SparkSession, d: str) -> DataFrame:
     return folds.assign(prices, first + dt.timedelta(365), last, train=365, test=30, gap=2)
 
 
+@query
+def monthly_folds(spark: SparkSession, d: str) -> DataFrame:
+    prices = fx.prices(spark, d).select(*KEY, "date")
+    _, last = folds.date_bounds(prices)
+    return folds.assign(prices, dt.date(1997, 1, 1), last, train=12, test=3, gap=1, freq="months")
+
+
 @query
 def holdout_split(spark: SparkSession, d: str) -> DataFrame:
     return folds.holdout(fx.prices(spark, d), KEY, 14)
@@ -872,4 +879,4 @@ def batch_infer(spark: SparkSession, d: str) -> DataFrame:
         return score
 
     rows = fx.words(fx.articles(spark, d)).select("doc_id", "content")
-    return sentiment.batch_infer(rows, load, "doc_id long, p double")
+    return sentiment.batch_infer(rows, load, "doc_id long, p double", batch_size=32)

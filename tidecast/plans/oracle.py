@@ -520,6 +520,16 @@ BODIES = {
                CASE WHEN date < end_train THEN 'train' ELSE 'test' END AS role
         FROM fx_prices JOIN {_FOLDS} f
           ON (date >= start_train AND date < end_train) OR (date >= start_test AND date < end_test)""",
+    "monthly_folds": """
+        SELECT series_id, date, fold_id, CASE WHEN date < end_train THEN 'train' ELSE 'test' END AS role
+        FROM fx_prices JOIN (
+            SELECT k AS fold_id, CAST(DATE '1996-01-01' + to_months(CAST(3 * k AS INT)) AS DATE) AS start_train,
+                   CAST(DATE '1997-01-01' + to_months(CAST(3 * k AS INT)) AS DATE) AS end_train,
+                   CAST(DATE '1997-02-01' + to_months(CAST(3 * k AS INT)) AS DATE) AS start_test,
+                   CAST(DATE '1997-05-01' + to_months(CAST(3 * k AS INT)) AS DATE) AS end_test
+            FROM range(100) AS r(k)) f
+          ON (date >= start_train AND date < end_train) OR (date >= start_test AND date < end_test)
+        WHERE start_test <= (SELECT max(date) FROM fx_prices)""",
     "holdout_split": """
         SELECT series_id, date, close_price, CASE WHEN row_number() OVER (PARTITION BY series_id
             ORDER BY date DESC) <= 14 THEN 'test' ELSE 'train' END AS role FROM fx_prices""",
