@@ -67,9 +67,11 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, WHITESPACE, " "))
 
 
-def tokens(text: Column) -> Column:
-    """Whitespace tokens of a text, without empty ones."""
-    return F.array_remove(F.split(text, WHITESPACE), "")
+def tokens(text: Column, at_most: int | None = None) -> Column:
+    """Whitespace tokens of a text, without empty ones; the first ``at_most``, without splitting the rest."""
+    if at_most is None:
+        return F.array_remove(F.split(text, WHITESPACE), "")
+    return F.slice(F.array_remove(F.split(text, WHITESPACE, at_most + 2), ""), 1, at_most)
 
 
 def mask_token(token: Column) -> Column:

@@ -196,11 +196,11 @@ def encode(
     Texts are cut to ``length`` tokens, as the model's input is. A pair text follows a
     separator and keeps its tokens; the first text gives way.
     """
-    first = text.tokens(F.lower(text_col))
+    first = text.tokens(F.lower(text_col), length)
     if pair_col is None:
-        cut = F.slice(first, 1, length)
+        cut = first
     else:
-        second = F.slice(text.tokens(F.lower(pair_col)), 1, length - 1)
+        second = text.tokens(F.lower(pair_col), length - 1)
         room = F.greatest(F.lit(length - 1) - F.size(second), F.lit(0))
         cut = F.concat(F.slice(first, 1, room), F.array(F.lit(None).cast("string")), second)
     words = df.select(row_id, F.posexplode_outer(cut).alias("_at", "token"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions import text
-from tidecast.operators import features, folds, ledger, model, sentiment, series
+from tidecast.operators import checks, features, folds, ledger, model, sentiment, series
 from tidecast.session import scratch_dir
 from tidecast.sources import writers
 
@@ -34,8 +34,9 @@ def extract_sentiment(
     ``relevant`` keeps the rows worth classifying; ``classify`` returns one row per text
     and aspect with its ``polarity``. All texts are classified unless ``sample_size`` bounds
     their number per source and day. The document count is of all texts; a day without
-    relevant texts has no record.
+    relevant texts has no record. A row without a date raises before anything is classified.
     """
+    checks.require_dates(articles, "date")
     totals = articles.groupBy(*keys, "date").agg(F.count("*").alias("total_docs"))
     texts = sentiment.content(articles, untitled).select(row_id, *keys, "date", "content")
     if sample_size is not None:
@@ -47,7 +48,11 @@ def extract_sentiment(
 
 @dataclass(frozen=True)
 class Settings:
-    """Periods in days and the parameter sets to try."""
+    """Periods in days and the parameter sets to try.
+
+    ``params_path`` keeps the chosen parameters; a later day passes them as its only
+    candidate (``model.load_params``) and so does not search again.
+    """
 
     train_days: int
     holdout_days: int = 14
@@ -57,6 +62,7 @@ class Settings:
     threshold: float = 0.5
     selector: model.Params = model.Params()
     candidates: list[model.Params] = field(default_factory=lambda: model.draw_params(20))
+    params_path: str | None = None
 
 
 def forecast(table: DataFrame, keys: list[str], settings: Settings) -> DataFrame:
@@ -70,6 +76,7 @@ def forecast(table: DataFrame, keys: list[str], settings: Settings) -> DataFrame
     path = scratch_dir(spark, "forecast")
     table.write.parquet(path)
     stored = spark.read.parquet(path)
+    checks.require_daily_cardinality(stored, stored.select(*keys, "date").distinct(), keys)
     _, last = folds.date_bounds(stored)
     known = stored.where(F.col("date") < F.lit(last))
     ranked = model.top_features(
@@ -90,6 +97,8 @@ def forecast(table: DataFrame, keys: list[str], settings: Settings) -> DataFrame
         settings.step,
         settings.candidates,
     )
+    if settings.params_path:
+        model.save_params(spark, best, settings.params_path)
     fitted = model.fit(known, selected, best)
     rows = series.latest(stored.where(F.col("date") == F.lit(last)), keys)
     scored = model.predict(fitted, rows, selected)
