@@ -93,7 +93,7 @@ class WordIds(dict):
     leaves is encoded again when it returns, so the ids never depend on the bound.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

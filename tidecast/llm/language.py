@@ -95,7 +95,7 @@ def train(
     key: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    sample: int = 1200,
+    sample: int = 800,
     longest: int = 20_000,
 ) -> Model | None:
     """A model from a bounded sample of the labelled rows where ``learn`` holds; None if there are none.
@@ -127,8 +127,8 @@ def train(
         return scores_of(weights, whose, found, len(places))[items]
 
     def pull(slope):
-        by_word = np.stack([np.bincount(items, slope[:, k], len(places)) for k in range(states)], axis=1)[whose]
-        return np.stack([np.bincount(found, by_word[:, k], FEATURES) for k in range(states)], axis=1)
+        by_word = [np.bincount(items, slope[:, k], len(places)) for k in range(states)]
+        return np.stack([np.bincount(found, g[whose], FEATURES) for g in by_word], axis=1)
 
     weights, moves = crf.fit(score, pull, (FEATURES, states), labels, lengths, rounds=25, rate=0.05)
     return Model(langs, weights.astype("float32"), moves, lexicon)
@@ -160,7 +160,7 @@ def identify(
     key: str = "doc_id",
     text: str = "text",
     keep: dict[str, Column] | None = None,
-    block_words: int = 1_000_000,
+    block_words: int = 400_000,
 ) -> DataFrame:
     """Per row: key, lang_pred, score, and ``runs``, the stretches of words of one language in order.
 
