@@ -1,5 +1,6 @@
 """The registered queries against brute force over the smallest tables."""
 
+import random
 import re
 import zlib
 from collections import Counter
@@ -215,3 +216,29 @@ def test_weights_shift_shards_in_proportion_and_moves_stay_few(spark):
     both = before.join(after, "id")
     assert abs(both.where("s = 1").count() / 20_000 - 0.75) < 0.02
     assert both.where("s <> t AND t <> 2").count() == 0
+
+
+def test_pipeline_removes_near_copies_as_all_pairs_do(spark, tmp_path):
+    rng = random.Random(4)
+    rows, plain = [], ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(4000)]
+    for group in range(12):
+        base = rng.choices(plain, k=rng.randint(60, 300))
+        for swaps in (0, 0, 1, 1, 2, 3, 4, 6):
+            own = list(base)
+            for at in rng.sample(range(len(own)), swaps):
+                own[at] = rng.choice(plain)
+            rows.append((" ".join(own), "aa"))
+    rows += [(" ".join(rng.choices(plain, k=5)), "aa") for _ in range(20)] + [("one two", "aa"), ("one two", "aa")]
+    rng.shuffle(rows)
+    rows = [(k, *row) for k, row in enumerate(rows)]
+    sets = {k: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for k, t, _ in rows for w in [t.split()]}
+    root = {k: k for k in sets}
+    for a in sets:
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    stage = dict(corpus_pipeline.STAGES)["near-duplicates"]
+    assert {r["doc_id"] for r in stage(spark, docs, str(tmp_path)).collect()} == set(root.values())
+    assert len(set(root.values())) < len({t for _, t, _ in rows})

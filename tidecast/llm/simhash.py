@@ -11,6 +11,8 @@ one differing bit, over the bits that its shared buckets leave free. Two fingerp
 common one exactly if they differ in at most two bits, and at most 65 can name the same one.
 """
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -126,6 +128,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """
     prints = fingerprints(docs, key, text)
     own = prints.join(classes(prints, key), "fp").select(key, "fp", "root")
+    return one_of_each(docs, own, fingerprint, key, text)
+
+
+def one_of_each(docs: DataFrame, own: DataFrame, fingerprint: Callable[[str | None], int], key: str, text: str) -> DataFrame:
+    """The row of smallest key of each root, given key, fp and root of every row; ``fingerprint`` makes fp of a text."""
     ids = own.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     order = F.struct(F.col(key).isNull().alias("_null"), F.col(key), F.col("fp"))
     kept = own.distinct().groupBy("root").agg(F.min(order).alias("_keep")).select(f"_keep.{key}", "_keep.fp")
