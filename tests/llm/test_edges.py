@@ -287,3 +287,22 @@ def test_urls_of_every_shape(spark):
     assert got[4]["rule"] is None and got[8]["verdict"] == "block"
     assert urls.judge(pages.limit(0), ["org/"], []).collect() == []
     assert {r["verdict"] for r in urls.judge(pages, [], []).collect()} == {"allow"}
+
+
+def test_phrases_of_different_documents_are_no_repeated_passage(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9)))
+    phrases = [" ".join(word() for _ in range(9)) + " " for _ in range(400)]
+    rows = [(k, "".join(rng.sample(phrases, 12))) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert any(substring.removed_spans(ends, own, {d for j, t in rows if j != k for d in substring.chunks(t)[2]}, 80)
+               for k, t in rows[:3] for _, ends, own in [substring.chunks(t)])
+    got = substring.dedup(docs).collect()
+    whole = {r[0]: r[1].encode() for r in rows}
+    joined = b"\0".join(whole.values())
+    for r in got:
+        own = whole[r["doc_id"]]
+        for start, end in r["removed"]:
+            pieces = [own[a : a + 80] for a in range(start, end - 79)]
+            held = [joined.count(p) > 1 for p in pieces]
+            assert all(any(held[max(0, x - 79 - start) : x - start + 1]) for x in range(start, end))

@@ -1,10 +1,11 @@
 """Substring deduplication by content-defined chunks.
 
-A gear rolling hash over the last 16 bytes decides where a chunk ends, at white space only
+A gear rolling hash over the last 16 bytes decides where a chunk ends: at white space only
 (or, inside very long words, at a rare value of the hash). Cuts depend on those bytes alone:
 there is no smallest or largest size, so an insertion moves no cut beyond its neighbourhood.
-Chunks are compared by digest. A chunk is a repeat if its text came earlier in the document or
-lies in a document of smaller rank; repeats are removed where a stretch of them is long enough.
+What is compared by digest are runs of consecutive chunks: from each chunk's start, and back from
+each chunk's end, the shortest that reaches the least length. A run is a repeat if
+its text came earlier in the document or lies in a document of smaller rank; repeats are removed.
 """
 
 import numpy as np
@@ -67,17 +68,44 @@ def chunks(text: str | None) -> tuple[bytes, np.ndarray, list[int]]:
     return own, ends, np.array(found, "uint64").view("int64").tolist()
 
 
-def removed_spans(ends: np.ndarray, digests: list[int], repeats: set[int], min_bytes: int) -> list[tuple[int, int]]:
-    """Byte spans of the stretches of repeated chunks that reach ``min_bytes``."""
+def runs(text: str | None, min_bytes: int = MIN_BYTES) -> tuple[bytes, np.ndarray, np.ndarray, list[int]]:
+    """UTF-8 bytes and chunk ends of a text; first and last chunk, and digest, of its shortest runs of ``min_bytes``, in order."""
+    import xxhash
+
+    own = (text or "").encode("utf-8", "replace")
+    if len(own) < max(1, min_bytes):
+        return own, np.array([len(own)]), np.zeros((0, 2), "int64"), []
+    ends = cuts(own)
+    starts, count = np.concatenate([[0], ends[:-1]]), len(ends)
+    last = np.searchsorted(ends, starts + min_bytes)
+    first = np.searchsorted(starts, ends - min_bytes, side="right") - 1
+    forward, back = np.flatnonzero(last < count), np.flatnonzero(first >= 0)
+    codes = np.unique(np.concatenate([forward * count + last[forward], first[back] * count + back]))
+    spans = np.stack([codes // count, codes % count], axis=1)
+    digest = xxhash.xxh3_64_intdigest
+    found = [digest(own[a:b]) for a, b in zip(starts[spans[:, 0]].tolist(), ends[spans[:, 1]].tolist())]
+    return own, ends, spans, np.array(found, "uint64").view("int64").tolist()
+
+
+def removed_spans(
+    ends: np.ndarray, digests: list[int], repeats: set[int], min_bytes: int, spans: np.ndarray | None = None
+) -> list[tuple[int, int]]:
+    """Byte spans of the stretches of repeats that reach ``min_bytes``.
+
+    ``spans`` has the first and last chunk that each digest stands for (None: one chunk each).
+    """
     seen: set[int] = set()
-    again = np.zeros(len(digests) + 2, "int8")
+    again = np.zeros(len(digests), bool)
     for k, digest in enumerate(digests):
-        again[k + 1] = digest in repeats or digest in seen
+        again[k] = digest in repeats or digest in seen
         seen.add(digest)
-    edges = np.flatnonzero(np.diff(again))
+    first, last = (np.arange(len(digests)),) * 2 if spans is None else (spans[:, 0], spans[:, 1])
+    depth = np.bincount(first[again], minlength=len(ends) + 1) - np.bincount(last[again] + 1, minlength=len(ends) + 1)
+    covered = np.concatenate([[0], np.cumsum(depth) > 0]).astype("int8")
+    edges = np.flatnonzero(np.diff(covered))
     starts = np.concatenate([[0], ends])
-    spans = zip(starts[edges[::2]].tolist(), starts[edges[1::2]].tolist())
-    return [(a, b) for a, b in spans if b - a >= min_bytes]
+    found = zip(starts[edges[::2]].tolist(), starts[edges[1::2]].tolist())
+    return [(a, b) for a, b in found if b - a >= min_bytes]
 
 
 def dedup(
@@ -90,9 +118,9 @@ def dedup(
     """``docs`` with repeated passages cut out of ``text``; all its columns are kept.
 
     A document is a key and a text: rows equal in both count as one document and are treated
-    alike. Of the documents that hold a chunk the one of smallest rank, a hash of key and
-    text, keeps it; so one whole copy of a passage stays. A stretch of repeats shorter than
-    ``min_bytes`` stays. ``removed`` (None: left out) holds the byte spans that were cut,
+    alike. Of the documents that hold a run of chunks the one of smallest rank, a hash of key
+    and text, keeps it; so one copy of a passage stays. Every byte that is cut lies in a run of at
+    least ``min_bytes`` that occurs as a whole elsewhere. ``removed`` (None: left out) holds the byte spans that were cut,
     replacing a column of that name. A null text stays null; an empty table gives an empty
     result.
 
@@ -109,7 +137,7 @@ def dedup(
         for batch in batches:
             ranks = batch.column(0).to_pylist()
             for start in range(0, batch.num_rows, 128):
-                own = [list(set(chunks(t)[2])) for t in batch.column(1).slice(start, 128).to_pylist()]
+                own = [list(set(runs(t, min_bytes)[3])) for t in batch.column(1).slice(start, 128).to_pylist()]
                 found = np.fromiter((d for ds in own for d in ds), "int64")
                 whose = np.repeat(np.array(ranks[start : start + 128], "int64"), [len(ds) for ds in own])
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(whose)], names=["digest", "rank"])
@@ -124,8 +152,8 @@ def dedup(
     def cut(texts: pd.Series, repeats: pd.Series) -> pd.DataFrame:
         rows = []
         for whole, own in zip(texts, repeats):
-            raw, ends, digests = chunks(whole)
-            spans = removed_spans(ends, digests, set() if own is None else set(own), min_bytes)
+            raw, ends, chunks_of, digests = runs(whole, min_bytes)
+            spans = removed_spans(ends, digests, set() if own is None else set(own), min_bytes, chunks_of)
             if spans:
                 rest = [raw[a:b] for a, b in zip([0, *[b for _, b in spans]], [*[a for a, _ in spans], len(raw)])]
                 whole = b"".join(rest).decode("utf-8", "replace")
