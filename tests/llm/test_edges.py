@@ -306,3 +306,18 @@ def test_phrases_of_different_documents_are_no_repeated_passage(spark):
             pieces = [own[a : a + 80] for a in range(start, end - 79)]
             held = [joined.count(p) > 1 for p in pieces]
             assert all(any(held[max(0, x - 79 - start) : x - start + 1]) for x in range(start, end))
+
+
+@pytest.mark.parametrize("letters", ["的一是不了人我在有他这中大来上国个到说们", "กขคงจฉชซญดตถทนบปผฝพฟ", "あいうえおかきくけこさしすせそたちつてと", "abcdefghijklmnopqrst"])
+def test_passages_without_spaces_go(spark, letters):
+    rng = random.Random(6)
+    prose = lambda n: "".join(rng.choices(letters, k=n))
+    size = 1200 // len(letters[0].encode())
+    passages = [prose(size) for _ in range(30)]
+    rows = [(2 * k + j, prose(2 * size) + p + prose(size)) for k, p in enumerate(passages) for j in range(2)]
+    rows += [(99, prose(3 * size))]
+    got = {r["doc_id"]: r for r in substring.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    cut = [sum(b - a for j in range(2) for a, b in got[2 * k + j]["removed"]) for k in range(30)]
+    assert all(800 <= n <= 1200 for n in cut), cut
+    assert got[99]["removed"] == []
+    assert all("�" not in r["text"] for r in got.values())

@@ -1,10 +1,10 @@
 """Substring deduplication by content-defined chunks.
 
-A gear rolling hash over the last 16 bytes decides where a chunk ends: at white space only
-(or, inside very long words, at a rare value of the hash). Cuts depend on those bytes alone:
-there is no smallest or largest size, so an insertion moves no cut beyond its neighbourhood.
-What is compared by digest are runs of consecutive chunks: from each chunk's start, and back from
-each chunk's end, the shortest that reaches the least length. A run is a repeat if
+A gear rolling hash over the last 16 bytes decides where a chunk ends: at white space, and between
+characters in scripts without spaces or where no white space came for 48 bytes. Cuts depend on the
+last bytes alone: there is no smallest or largest size, so an insertion moves no cut beyond its
+neighbourhood. What is compared by digest are runs of consecutive chunks: from each chunk's start,
+and back from each chunk's end, the shortest that reaches the least length. A run is a repeat if
 its text came earlier in the document or lies in a document of smaller rank; repeats are removed.
 """
 
@@ -18,6 +18,9 @@ from tidecast.llm.common import staged
 WINDOW = 16
 #: One white space in so many ends a chunk.
 SPACES_PER_CUT = 4
+#: So many bytes without white space may be cut between characters; one place in so many is, by bytes of the character before it.
+UNBROKEN = 48
+CHARS_PER_CUT = (24, 8)
 MIN_BYTES = 80
 
 
@@ -35,21 +38,36 @@ _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BLOCK = 1 << 20
 
 
+def _unspaced(lead: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Whether three-byte characters are kana or ideographs, or Thai, Lao, Burmese or Khmer."""
+    southern = ((lead == 0xE0) & (second >= 0xB8) & (second <= 0xBB)) | (
+        (lead == 0xE1) & (((second >= 0x80) & (second <= 0x82)) | (second == 0x9E) | (second == 0x9F))
+    )
+    return ((lead >= 0xE3) & (lead <= 0xE9)) | southern
+
+
 def cuts(text: bytes) -> np.ndarray:
     """The ends of a text's chunks, the last one at its end."""
     ends = []
     for start in range(0, len(text), _BLOCK):
-        own = np.frombuffer(text, "u1", min(len(text), start + _BLOCK + 1) - max(0, start - WINDOW), max(0, start - WINDOW))
+        lead = min(start, UNBROKEN)
+        own = np.frombuffer(text, "u1", min(len(text), start + _BLOCK + 1) - start + lead, start - lead)
         rolled = GEARS[own]
         for width in (1, 2, 4, 8):
             shifted = rolled[:-width] << np.uint32(width)
             rolled[width:] += shifted
-        lead = start - max(0, start - WINDOW)
-        here = rolled[lead : lead + _BLOCK]
-        bytes_here, after = own[lead : lead + _BLOCK], own[lead + 1 : lead + 1 + _BLOCK]
-        end = _SPACE[bytes_here] & ((here >> np.uint32(16)) % np.uint32(SPACES_PER_CUT) == 0)
-        rare = here[: len(after)] >> np.uint32(20) == 0
-        end[: len(after)] |= rare & ((after & 0xC0) != 0x80)
+        drawn = (rolled >> np.uint32(16))[lead : lead + _BLOCK]
+        end = _SPACE[own[lead : lead + _BLOCK]] & (drawn % np.uint32(SPACES_PER_CUT) == 0)
+        narrow, wide = (drawn % np.uint32(n) == 0 for n in CHARS_PER_CUT)
+        some = np.flatnonzero(narrow | wide)
+        some = some[some + start + 1 < len(text)]
+        at = some + lead
+        some, at = (x[((own[at + 1] & 0xC0) != 0x80) & ~_SPACE[own[at]]] for x in (some, at))
+        spaces = np.concatenate([[0], np.cumsum(_SPACE[own])])
+        unbroken = (at + 1 >= UNBROKEN) & (spaces[at + 1] == spaces[np.maximum(at + 1 - UNBROKEN, 0)])
+        many = own[at] >= 0x80
+        unspaced = many & (at >= 2) & _unspaced(own[np.maximum(at - 2, 0)], own[np.maximum(at - 1, 0)])
+        end[some[(unbroken & ~many & narrow[some]) | ((unbroken | unspaced) & many & wide[some])]] = True
         ends.append(np.flatnonzero(end) + start + 1)
     found = np.concatenate(ends) if ends else np.zeros(0, "int64")
     return found if len(found) and found[-1] == len(text) else np.append(found, len(text)).astype("int64")
