@@ -130,10 +130,9 @@ def test_cached_units_equal_one_call(path):
     from tokenizers import Tokenizer
 
     plain, rng = Tokenizer.from_file(path), random.Random(5)
-    plain.encode_special_tokens = True
     ids = common.WordIds(path, limit=50)
     alphabet = "ab AZ\n\t'.,!?_0s é한\u0301\u00a0 1९<|>İΣς\x1c\x85क़%"
-    odd = ["", " ", "\n", "a  b", "don't <|endoftext|> we'll", "\n\n a \n b", "x\0y", PROSE]
+    odd = ["", " ", "\n", "a  b", "don't <|endoftext|> we'll", "\n\n a \n b", "x\0y", PROSE, "a <|EndOfText|> b", "<|startoftext|>", "a<|endoftext|>", "the Öl ığ ÀÉ über"]
     for text in odd + ["".join(rng.choices(alphabet, k=rng.randint(0, 50))) for _ in range(800)]:
         assert ids.encode(text) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 

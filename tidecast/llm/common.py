@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,43 +86,74 @@ def ascii_lower(text: str) -> bytes:
     return text.encode("utf-8", "replace").translate(_UPPER_TO_LOWER)
 
 
-class WordIds(dict):
-    """Token ids by text unit, as little-endian unsigned 32-bit integers, from a tokenizer that splits at white space.
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in printable)
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
 
-    The new units of a text are encoded in one call, with a separator between them that has a
-    token of its own. Two generations of at most ``limit`` units bound the memory; a unit that
-    leaves is encoded again when it returns, so the ids never depend on the bound.
+class WordIds(dict):
+    """Token ids by text unit, as little-endian unsigned 32-bit integers, from a byte-level tokenizer.
+
+    The new units of some texts are encoded in one call, with a separator between them that has
+    a token of its own. Units of Latin letters alone are one word to the tokenizer's pattern, so
+    they are handed to its merges without the pattern. A text with a string that the tokenizer
+    takes for a special token is encoded whole. Two generations of at most ``limit`` units
+    bound the memory; a unit that leaves is encoded again when it returns, so the ids never
+    depend on the bound.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, limit: int = 400_000):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.limit = limit
         self.old: dict[str, bytes] = {}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.starts = {t[:2] for t in special}
+        self.special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE).search
         self.keeps_space = keeps_space = len(self._ids("\n")) > 0
         # A line break where the tokenizer keeps white space, else a digit, which stands alone in its pattern.
         self.between = "\n" if keeps_space else " 0 "
         self.mark = self._ids("\n" if keeps_space else "0")[0]
         self.fits = re.compile(r" ?\S(?:[^\n]*\S)?" if keeps_space else r" ?[^\s0](?:[^\n0]*[^\s0])?").fullmatch
+        self.letters = _byte_letters()
+        letters = re.compile(f" ?{_LATIN_LETTER}+").fullmatch
+        self.plain = letters if keeps_space else lambda unit: unit.islower() and unit[0] != " " and letters(unit)
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Split(self.letters[10], "isolated")
+        self.stop = self.merges.encode(self.letters[10], add_special_tokens=False).ids
 
     def _ids(self, text: str):
         import numpy as np
 
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
+    def _words(self, words: list[str]):
+        """The ids of plain words, with the id of a line break between them."""
+        import numpy as np
+
+        spelled = "\n".join(words).encode().decode("latin-1").translate(self.letters)
+        return np.array(self.merges.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
+
     def learn(self, new: set[str]) -> dict[str, bytes]:
         """The ids of units that are not among the latest."""
         found = {u: self.old[u] for u in new if u in self.old} if self.old else {}
-        joint = [u for u in new if u not in found and self.fits(u)]
-        if joint:
-            ids = self._ids(self.between.join(joint))
-            stops = (ids == self.mark).nonzero()[0].tolist()
+
+        def split(joint: list[str], ids, mark: int) -> None:
+            stops = (ids == mark).nonzero()[0].tolist()
             if len(stops) == len(joint) - 1:
                 raw = ids.tobytes()
                 spans = zip([0, *[4 * x + 4 for x in stops]], [*[4 * x for x in stops], len(raw)])
                 found.update(zip(joint, [raw[a:b] for a, b in spans]))
+
+        words = [u for u in new if u not in found and self.plain(u)] if len(self.stop) == 1 else []
+        if words:
+            split(words, self._words(words), self.stop[0])
+        joint = [u for u in new if u not in found and self.fits(u)]
+        if joint:
+            split(joint, self._ids(self.between.join(joint)), self.mark)
         for unit in new:
             if unit not in found:
                 found[unit] = self._ids(unit).tobytes()
@@ -131,19 +163,42 @@ class WordIds(dict):
         self.update(found)
         return found
 
+    def encode_all(self, texts: Iterable[str], block: int = 400_000):
+        """The ids of each whole text; equal to encoding it in one call. About ``block`` characters are held at once."""
+        source = iter(texts)
+        while True:
+            held, size = [], 0
+            for text in source:
+                held.append(text)
+                size += len(text)
+                if size >= block:
+                    break
+            if not held:
+                return
+            cuts = [[] if any(s in t for s in self.starts) and self.special(t) else units(t, self.keeps_space) for t in held]
+            known = [list(map(self.get, cut)) for cut in cuts]
+            missing = [[at for at, ids in enumerate(own) if ids is None] for own in known]
+            found = self.learn({cut[at] for cut, places in zip(cuts, missing) for at in places})
+            for text, cut, own, places in zip(held, cuts, known, missing):
+                for at in places:
+                    own[at] = found[cut[at]]
+                yield b"".join(own) if cut or not text else self._ids(text).tobytes()
+
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text; equal to encoding it in one call."""
-        cut = units(text, self.keeps_space)
-        ids = list(map(self.get, cut))
-        if None in ids:
-            missing = [at for at, known in enumerate(ids) if known is None]
-            new = self.learn({cut[at] for at in missing})
-            for at in missing:
-                ids[at] = new[cut[at]]
-        return b"".join(ids)
+        """Ids of one whole text."""
+        return next(self.encode_all([text]))
+
+    def forget(self) -> None:
+        """Give the memory of all units back."""
+        import ctypes
+
+        self.clear()
+        self.old = {}
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_LATIN_LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]"
 #: A comma or stop that touches anything but Latin letters and digits before it, or another mark behind it, is not cut off.
 _LATIN = "[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]"
 _MARKS = re.compile(rf"[.,](?:(?<!{_LATIN}[.,])|[^\w\s]|_)")
@@ -175,11 +230,15 @@ def units(text: str, keeps_space: bool) -> list[str]:
 _WORD_IDS: dict[str, WordIds] = {}
 
 
-def word_ids(path: str) -> WordIds:
-    """The cache of this worker process."""
+@contextlib.contextmanager
+def word_ids(path: str) -> Iterator[WordIds]:
+    """The tokenizer of this worker process; its units are forgotten when the task is done with them."""
     if path not in _WORD_IDS:
         _WORD_IDS[path] = WordIds(path)
-    return _WORD_IDS[path]
+    try:
+        yield _WORD_IDS[path]
+    finally:
+        _WORD_IDS[path].forget()
 
 
 def arrow_types(schema: str):

@@ -95,7 +95,7 @@ def train(
     key: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    sample: int = 800,
+    sample: int = 1200,
     longest: int = 20_000,
 ) -> Model | None:
     """A model from a bounded sample of the labelled rows where ``learn`` holds; None if there are none.

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import map_rows, number_rows, staged, word_ids
+from tidecast.llm.common import arrow_types, columns_of, number_rows, record_batches, staged, word_ids
 
 _RANK_BITS = 44
 
@@ -42,16 +42,22 @@ def pieces(
     schema = f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     end, width = int(end_id).to_bytes(4, "little"), 4 * capacity
 
-    def rows(batch):
-        encode = word_ids(tokenizer).encode
-        for doc, whole in zip(batch["_key"], batch["_text"]):
-            ids = encode(whole or "") + end
-            for piece, at in enumerate(range(0, len(ids), width)):
-                own = ids[at : at + width]
-                row = (doc, piece, at // 4, len(own) // 4, zlib.crc32(own))
-                yield (*row, own) if with_ids else row
+    types = arrow_types(schema)
 
-    return map_rows(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), schema, rows)
+    def cut(batches):
+        def rows(encoder):
+            for batch in columns_of(batches):
+                for doc, ids in zip(batch["_key"], encoder.encode_all(t or "" for t in batch["_text"])):
+                    ids += end
+                    for piece, at in enumerate(range(0, len(ids), width)):
+                        own = ids[at : at + width]
+                        row = (doc, piece, at // 4, len(own) // 4, zlib.crc32(own))
+                        yield (*row, own) if with_ids else row
+
+        with word_ids(tokenizer) as encoder:
+            yield from record_batches(types, rows(encoder))
+
+    return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(cut, schema)
 
 
 def plan(runs: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:

@@ -112,19 +112,19 @@ def write(
     order = ["_key", "_hash", "_row"]
 
     def segments(batches):
-        encoder, part, number = word_ids(tokenizer), TaskContext.get().partitionId(), 0
+        part, number = TaskContext.get().partitionId(), 0
         keys, ids, held = [], [], 0
 
         def closed():
             lengths = [len(x) // 4 for x in ids]
             return part, number, held, list(keys), lengths, encode(np.frombuffer(b"".join(ids), "<u4"))
 
-        def every():
+        def every(encoder):
             nonlocal keys, ids, held, number
             for columns in columns_of(batches):
-                for doc, whole in zip(columns["_key"], columns["_text"]):
+                for doc, own in zip(columns["_key"], encoder.encode_all(t or "" for t in columns["_text"])):
                     keys.append(doc)
-                    ids.append(encoder.encode(whole or "") + end)
+                    ids.append(own + end)
                     held += len(ids[-1]) // 4
                     if held >= segment_tokens:
                         yield closed()
@@ -132,7 +132,8 @@ def write(
             if keys:
                 yield closed()
 
-        yield from record_batches(types, every(), 32)
+        with word_ids(tokenizer) as encoder:
+            yield from record_batches(types, every(encoder), 32)
 
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("_key", "_text")
     ordered.mapInArrow(segments, schema).write.parquet(f"{path}/segments")
