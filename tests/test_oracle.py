@@ -16,8 +16,15 @@ TYPES = {
 }
 
 
+#: Fits that SQL can not express; ``test_models`` and ``test_boosting`` hold them against brute force.
+FITTED = {
+    "train_predict", "top_features", "cv_predictions", "random_search", "evaluate_model", "forecast_day",
+    "text_relevance", "relevance_filter", "text_polarity",
+}
+
+
 def test_every_query_has_a_counterpart():
-    assert set(catalog.QUERIES) == set(STATEMENTS)
+    assert set(catalog.QUERIES) == set(STATEMENTS) | FITTED and not FITTED & set(STATEMENTS)
 
 
 @pytest.mark.parametrize("name", STATEMENTS)

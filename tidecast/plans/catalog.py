@@ -32,6 +32,7 @@ from tidecast.operators import (
 )
 from tidecast.plans import daily_job
 from tidecast.plans import feature_table as flagship
+from tidecast.plans.stumps import STUMP_CUTS, STUMP_FEATURES, STUMP_SETTINGS
 from tidecast.session import scratch_dir
 from tidecast.sources import daily, pages, writers
 from tidecast.streaming import arrivals
@@ -521,12 +522,10 @@ def forecast_day(spark: SparkSession, d: str) -> DataFrame:
         step=7,
         selection_gap=7,
         selector=SMALL,
-        candidates=SEARCH[:2],
+        candidates=SEARCH,
     )
-    table = _full_table(spark, d)
-    record = daily_job.forecast(table, KEY, settings)
-    up = F.col("tomorrow_prediction").isin("Up", "Down")
-    return record.select(*KEY, "utc_date", up.alias("class_ok"), (F.size("selected_features") == 10).alias("features_ok"))
+    record = daily_job.forecast(_full_table(spark, d), KEY, settings)
+    return record.withColumn("selected_features", F.array_join("selected_features", ","))
 
 
 def _forecasts(spark: SparkSession, d: str) -> DataFrame:
@@ -546,8 +545,10 @@ def current_prediction(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def prediction_history(spark: SparkSession, d: str) -> DataFrame:
-    rows = flagship.forecasts(_full_table(spark, d), KEY)
-    return _rounded(ledger.history(rows, KEY), "p", "news_sentiment")
+    # A probability of prices with two digits can lie halfway between two sixth digits; it is moved off there.
+    rows = ledger.history(flagship.forecasts(_full_table(spark, d), KEY), KEY)
+    moved = rows.withColumns({c: F.col(c) + F.lit(1e-9) for c in ("p", "news_sentiment")})
+    return _rounded(moved, "p", "news_sentiment")
 
 
 @query
@@ -753,7 +754,12 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
 # Models -------------------------------------------------------------------------
 
 SMALL = model.Params(trees=3, depth=2)
-SEARCH = model.draw_params(4, trees=(4, 8))
+SEARCH = model.draw_params(4, trees=(4, 8), min_gain=(0, 2))
+#: Two rounds of one split each: small enough for SQL to grow them too.
+STUMPS = [
+    model.Params(trees=2, depth=1, rate=rate, row_share=1.0, column_share=1.0, min_gain=gain, l1=l1, l2=l2)
+    for rate, gain, l1, l2 in STUMP_SETTINGS
+]
 
 
 def _panel(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
@@ -764,30 +770,21 @@ def _panel(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
     return panel, features.feature_columns(panel, KEY)
 
 
-def _chance_ok(column: str = "p") -> Column:
-    return F.col(column).between(0.0, 1.0).alias("p_ok")
-
-
 @query
 def train_predict(spark: SparkSession, d: str) -> DataFrame:
-    """Which rows are predicted, and whether the class follows from the probability."""
+    """Every series' last day, predicted from all others."""
     panel, columns = _panel(spark, d)
     scored = model.fit_predict(panel, KEY, columns, SMALL)
-    called = scoring.up_or_down(F.col("p")) == F.when(F.col("p") > 0.5, "Up").otherwise("Down")
-    return scored.select(*KEY, "date", _chance_ok(), called.alias("class_ok"))
+    return scored.select(*KEY, "date", "p", scoring.up_or_down(F.col("p")).alias("prediction"))
 
 
 @query
 def top_features(spark: SparkSession, d: str) -> DataFrame:
-    """How many features are picked, from which, and in what order."""
+    """The ten features with the largest share of the gain."""
     panel, columns = _panel(spark, d)
     picked = model.top_features(panel, KEY, columns, n=10, skip_last=7, params=SMALL)
     order = Window.orderBy(F.desc("importance"), "feature")
-    return picked.select(
-        F.row_number().over(order).alias("position"),
-        F.col("feature").isin(columns).alias("known"),
-        F.col("importance").between(0.0, 1.0).alias("importance_ok"),
-    )
+    return picked.select(F.row_number().over(order).alias("position"), "feature", "importance")
 
 
 def _folded(panel: DataFrame) -> model.FoldTable:
@@ -799,26 +796,39 @@ def _folded(panel: DataFrame) -> model.FoldTable:
 def cv_predictions(spark: SparkSession, d: str) -> DataFrame:
     panel, columns = _panel(spark, d)
     scored = model.cv_predict(_folded(panel), columns, SMALL)
-    return scored.select(*KEY, "date", "fold_id", "is_price_up", _chance_ok())
+    return scored.select(*KEY, "date", "fold_id", "is_price_up", "p")
 
 
 @query
 def random_search(spark: SparkSession, d: str) -> DataFrame:
-    """Every trial is scored and its parameters lie in the search space."""
+    """Every trial with its parameters and the macro-F1 of its stored predictions."""
     panel, columns = _panel(spark, d)
-    found = model.random_search(_folded(panel), columns, SEARCH)[1]
-    drawn = F.col("depth").between(2, 6) & F.col("rate").between(0.01, 0.10)
-    drawn &= F.col("row_share").between(0.5, 0.9) & F.col("column_share").between(0.5, 0.9)
-    return found.select("trial", drawn.alias("drawn_ok"), F.col("macro_f1").between(0.0, 1.0).alias("f1_ok"))
+    return model.random_search(_folded(panel), columns, SEARCH).trials
+
+
+@query
+def boosted_stumps(spark: SparkSession, d: str) -> DataFrame:
+    """Out-of-fold probabilities of all trials and folds, grown together, with fixed bounds between bins."""
+    panel, _ = _panel(spark, d)
+    cuts = [np.array(STUMP_CUTS, "float64")] * len(STUMP_FEATURES)
+    scored = model.cross_validate(_folded(panel), STUMP_FEATURES, STUMPS, cuts)
+    return _rounded(scored.select("trial", "fold_id", *KEY, "date", "is_price_up", "p"), "p")
+
+
+@query
+def stump_search(spark: SparkSession, d: str) -> DataFrame:
+    """The macro-F1 of each trial of ``boosted_stumps``."""
+    panel, _ = _panel(spark, d)
+    cuts = [np.array(STUMP_CUTS, "float64")] * len(STUMP_FEATURES)
+    scored = model.cross_validate(_folded(panel), STUMP_FEATURES, STUMPS, cuts)
+    return _rounded(model.macro_f1_of(scored, ["trial"]), "macro_f1")
 
 
 @query
 def evaluate_model(spark: SparkSession, d: str) -> DataFrame:
-    """Every series is evaluated; accuracies are shares."""
+    """The accuracy of every series over runs of seven predictions, in tuning and hold-out folds."""
     panel, columns = _panel(spark, d)
-    found = model.evaluate_model(panel, KEY, columns, train=14, holdout=7, step=7, candidates=SEARCH[:2])[1]
-    shares = [F.coalesce(F.col(c).between(0.0, 1.0), F.lit(True)) for c in ("eval_acc", "holdout_eval_acc")]
-    return found.select(*KEY, (shares[0] & shares[1]).alias("accuracy_ok"))
+    return model.evaluate_model(panel, KEY, columns, train=14, holdout=7, step=7, candidates=SEARCH).metrics
 
 
 def _labelled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -833,21 +843,17 @@ def _relevance(spark: SparkSession, d: str) -> tuple[DataFrame, PipelineModel]:
 
 @query
 def text_relevance(spark: SparkSession, d: str) -> DataFrame:
-    """Every text gets the more probable class."""
+    """The class of every text and its probability."""
     rows, fitted = _relevance(spark, d)
     scored = model.classify_text(fitted, rows)
-    best = F.col("probabilities")[F.col("prediction")] >= F.array_max("probabilities")
-    return scored.select("doc_id", best.alias("class_ok"))
+    return scored.select("doc_id", "prediction", F.col("probabilities")[1].alias("p_relevant"))
 
 
 @query
 def relevance_filter(spark: SparkSession, d: str) -> DataFrame:
-    """Texts of class 1 stay, the others go."""
+    """Texts of class 1."""
     rows, fitted = _relevance(spark, d)
-    kept = model.relevant(fitted, rows).select("doc_id", F.lit(True).alias("_kept"))
-    scored = model.classify_text(fitted, rows).join(kept, "doc_id", "left")
-    follows = (F.col("prediction") == 1) == F.coalesce("_kept", F.lit(False))
-    return scored.select("doc_id", "date", "media", follows.alias("kept_ok"))
+    return model.relevant(fitted, rows).select("doc_id", "date", "media")
 
 
 @query
@@ -860,7 +866,7 @@ def text_polarity(spark: SparkSession, d: str) -> DataFrame:
     fitted = model.fit_text(labelled.join(marked, "doc_id"), pair_col="aspect")
     scored = model.classify_text(fitted, sentiment.expand_aspects(rows), pair_col="aspect")
     label = scoring.argmax_label(F.col("probabilities"), scoring.POLARITIES)
-    return scored.select("doc_id", "aspect", label.isin(list(scoring.POLARITIES)).alias("polarity_ok"))
+    return scored.select("doc_id", "aspect", label.alias("polarity"))
 
 
 @query

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions import text
-from tidecast.operators import checks, features, folds, ledger, model, sentiment, series
+from tidecast.operators import calendar, checks, features, folds, ledger, model, sentiment, series
 from tidecast.session import scratch_dir
 from tidecast.sources import writers
 
@@ -76,8 +76,9 @@ def forecast(table: DataFrame, keys: list[str], settings: Settings) -> DataFrame
     path = scratch_dir(spark, "forecast")
     table.write.parquet(path)
     stored = spark.read.parquet(path)
-    checks.require_daily_cardinality(stored, stored.select(*keys, "date").distinct(), keys)
-    _, last = folds.date_bounds(stored)
+    first, last = folds.date_bounds(stored)
+    days = calendar.days_between(stored, keys, first, last)
+    checks.require_daily_cardinality(stored, days, keys)
     known = stored.where(F.col("date") < F.lit(last))
     ranked = model.top_features(
         known,
@@ -88,7 +89,7 @@ def forecast(table: DataFrame, keys: list[str], settings: Settings) -> DataFrame
         settings.selector,
     )
     selected = [row["feature"] for row in ranked.collect()]
-    best, metrics = model.evaluate_model(
+    evaluated = model.evaluate_model(
         known,
         keys,
         selected,
@@ -98,8 +99,8 @@ def forecast(table: DataFrame, keys: list[str], settings: Settings) -> DataFrame
         settings.candidates,
     )
     if settings.params_path:
-        model.save_params(spark, best, settings.params_path)
-    fitted = model.fit(known, selected, best)
+        model.save_params(spark, evaluated.best, settings.params_path)
+    fitted = model.fit(known, selected, evaluated.best)
     rows = series.latest(stored.where(F.col("date") == F.lit(last)), keys)
     scored = model.predict(fitted, rows, selected)
     shown = scored.select(
@@ -112,7 +113,7 @@ def forecast(table: DataFrame, keys: list[str], settings: Settings) -> DataFrame
         F.col("bitcoin_news_score").alias("news_sentiment"),
         "trends",
     )
-    return ledger.record(shown, metrics, keys, selected, settings.threshold)
+    return ledger.record(shown, evaluated.metrics, keys, selected, settings.threshold)
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ import re
 from tidecast import fixtures as fx
 from tidecast.functions import text
 from tidecast.functions.scoring import ASPECTS, POLARITIES
+from tidecast.plans.stumps import STUMP_CUTS, STUMP_FEATURES, STUMP_SETTINGS
 
 
 def _quoted(value: str) -> str:
@@ -238,6 +239,61 @@ VIEWS["fx_latest"] = """
     SELECT * FROM fx_forecasts QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY date DESC) = 1"""
 
 
+VIEWS["fx_stump_rows"] = f"""
+    SELECT t.trial, t.eta, t.min_gain, t.l1, t.l2, f.fold_id, series_id, date, is_price_up,
+           [{", ".join(f"{c}::DOUBLE" for c in STUMP_FEATURES)}] AS x,
+           date >= start - 14 AND date < start AND is_price_up IS NOT NULL AS learns,
+           date >= start AND date < start + 7 AS tests
+    FROM fx_features, (VALUES {", ".join(f"({k}, {', '.join(f'{v}::DOUBLE' for v in own)})" for k, own in enumerate(STUMP_SETTINGS))})
+             AS t(trial, eta, min_gain, l1, l2),
+         (SELECT k AS fold_id, min(date) + 14 + 7 * k::INT AS start FROM fx_features, range(100) AS r(k)
+          GROUP BY k HAVING min(date) + 14 + 7 * k::INT <= max(date)) AS f
+    WHERE date >= start - 14 AND date < start + 7"""
+
+
+def _stump_rounds(rounds: int) -> str:
+    """Rounds of boosting with one split each, as common table expressions ``margins1``, ``margins2``, ...
+
+    A round sums gradients and hessians per bound, takes the bound of the largest gain (ties: the first
+    feature, the lowest bound) and moves each row's margin by the weight of its side.
+    """
+    whole = ["margins0 AS (SELECT *, 0.0::DOUBLE AS margin FROM fx_stump_rows)"]
+    score = "greatest(abs({g}) - l1, 0.0) * greatest(abs({g}) - l1, 0.0) / ({h} + l2)"
+    weight = "-eta * (sign({g}) * greatest(abs({g}) - l1, 0.0)) / ({h} + l2)"
+    for k in range(1, rounds + 1):
+        whole.append(f"""sloped{k} AS (
+            SELECT trial, fold_id, eta, min_gain, l1, l2, x,
+                round((p - is_price_up::INT) * 16777216) / 16777216 AS g, round(p * (1 - p) * 16777216) / 16777216 AS h
+            FROM (SELECT *, 1 / (1 + exp(-margin)) AS p FROM margins{k - 1} WHERE learns)
+        ), totals{k} AS (
+            SELECT trial, fold_id, any_value(eta) AS eta, any_value(min_gain) AS min_gain, any_value(l1) AS l1,
+                any_value(l2) AS l2, sum(g) AS g, sum(h) AS h
+            FROM sloped{k} GROUP BY trial, fold_id
+        ), sides{k} AS (
+            SELECT trial, fold_id, i, cut, sum(g) AS gl, sum(h) AS hl
+            FROM sloped{k}, range(1, {len(STUMP_FEATURES) + 1}) AS f(i), (SELECT unnest({STUMP_CUTS}) AS cut)
+            WHERE x[i] <= cut GROUP BY trial, fold_id, i, cut
+        ), chosen{k} AS (
+            SELECT trial, fold_id, i, cut, gl, hl
+            FROM (SELECT *, {score.format(g="gl", h="hl")} + {score.format(g="(g - gl)", h="(h - hl)")}
+                      - {score.format(g="g", h="h")} AS gain
+                  FROM sides{k} JOIN totals{k} USING (trial, fold_id))
+            WHERE gain > min_gain AND hl >= 1 AND h - hl >= 1
+            QUALIFY row_number() OVER (PARTITION BY trial, fold_id ORDER BY gain DESC, i, cut) = 1
+        ), margins{k} AS (
+            SELECT m.* EXCLUDE margin, margin + coalesce(CASE
+                WHEN i IS NULL THEN {weight.format(g="g", h="h").replace("eta", "m.eta").replace("l1", "m.l1").replace("l2", "m.l2")}
+                WHEN x[i] <= cut THEN {weight.format(g="gl", h="hl").replace("eta", "m.eta").replace("l1", "m.l1").replace("l2", "m.l2")}
+                ELSE {weight.format(g="(g - gl)", h="(h - hl)").replace("eta", "m.eta").replace("l1", "m.l1").replace("l2", "m.l2")}
+                END, 0.0) AS margin
+            FROM margins{k - 1} AS m LEFT JOIN totals{k} USING (trial, fold_id) LEFT JOIN chosen{k} USING (trial, fold_id)
+        )""")
+    return ", " + ", ".join(whole)
+
+
+_STUMPED = _stump_rounds(2)
+
+
 def with_views(body: str) -> str:
     """The statement with the views it uses, directly or through others, put before it."""
     needed: set[str] = set()
@@ -570,8 +626,8 @@ BODIES = {
         FROM fx_latest""",
     "prediction_history": """
         SELECT series_id, strftime(date + 1, '%Y-%m-%d') || ' 07:00:00' AS predicted_for,
-               round(p, 6) + 0.0 AS p, prediction, positive, negative, trends,
-               round(news_sentiment, 6) + 0.0 AS news_sentiment
+               round(p + 1e-9, 6) + 0.0 AS p, prediction, positive, negative, trends,
+               round(news_sentiment + 1e-9, 6) + 0.0 AS news_sentiment
         FROM fx_forecasts""",
     "sentiment_history": """
         SELECT series_id, strftime(date + 1, '%Y-%m-%d') AS date,
@@ -647,23 +703,19 @@ BODIES = {
     "stream_daily_counts": """
         SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events GROUP BY ALL""",
     "stream_dedup": _EVENTS,
-    "train_predict": """
-        SELECT series_id, max(date) AS date, true AS p_ok, true AS class_ok FROM fx_features GROUP BY series_id""",
-    "top_features": """
-        SELECT CAST(i AS INT) AS position, true AS known, true AS importance_ok FROM range(1, 11) AS r(i)""",
-    "cv_predictions": """
-        SELECT series_id, date, CAST((date - start) // 7 AS BIGINT) AS fold_id, is_price_up, true AS p_ok
-        FROM fx_features, (SELECT min(date) + 14 AS start FROM fx_features) WHERE date >= start""",
-    "random_search": """
-        SELECT CAST(i AS INT) AS trial, true AS drawn_ok, true AS f1_ok FROM range(4) AS r(i)""",
-    "forecast_day": """
-        SELECT series_id, max(date) AS utc_date, true AS class_ok, true AS features_ok
-        FROM fx_features GROUP BY series_id""",
-    "evaluate_model": "SELECT DISTINCT series_id, true AS accuracy_ok FROM fx_features",
-    "text_relevance": "SELECT doc_id, true AS class_ok FROM documents",
-    "relevance_filter": "SELECT doc_id, date, media, true AS kept_ok FROM fx_articles",
-    "text_polarity": f"""
-        SELECT doc_id, unnest({_list(ASPECTS)}) AS aspect, true AS polarity_ok FROM documents""",
+    "boosted_stumps": _STUMPED + """
+        SELECT trial, fold_id, series_id, date, is_price_up, round(1 / (1 + exp(-margin)), 6) + 0.0 AS p
+        FROM margins2 WHERE tests""",
+    "stump_search": _STUMPED + """
+        , judged AS (
+            SELECT trial, is_price_up AS actual, 1 / (1 + exp(-margin)) > 0.5 AS predicted
+            FROM margins2 WHERE tests AND is_price_up IS NOT NULL
+        ), per_class AS (
+            SELECT trial, class, 2.0 * count(*) FILTER (actual = predicted AND actual = class)
+                / (count(*) FILTER (actual = class) + count(*) FILTER (predicted = class)) AS f1
+            FROM judged, (VALUES (true), (false)) AS c(class) WHERE class IN (actual, predicted) GROUP BY trial, class
+        )
+        SELECT trial, round(avg(f1), 6) + 0.0 AS macro_f1 FROM per_class GROUP BY trial""",
     "batch_infer": """
         SELECT doc_id, round(1.0 / (1.0 + exp(-(length(article) - 1000.0) / 1000.0)), 6) AS p
         FROM fx_articles""",
