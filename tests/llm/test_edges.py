@@ -7,7 +7,24 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidecast.llm import common, crf, decontam, language, packing, quality, sharding, simhash, substring, suffixlm, tokenbin, urls
+from tidecast.llm import (
+    audit,
+    common,
+    crf,
+    decontam,
+    language,
+    minhash,
+    negatives,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    substring,
+    suffixlm,
+    tensored,
+    tokenbin,
+    urls,
+)
 
 LONG = " ".join(f"word{i % 997}x{i % 13}" for i in range(60_000))
 PROSE = "the small dog runs over a green hill and then it sleeps under the old tree near our river. "
@@ -18,7 +35,7 @@ ROWS = [
 ]
 SCHEMA = "doc_id long, text string, lang string"
 #: Names that the operators use for their own columns.
-CLASHES = ["_part", "_key", "_text", "fp", "rank", "digest", "shard", "size", "n", "key", "row", "_row", "removed", "spans", "item_id", "sequence_id"]
+CLASHES = ["_part", "_key", "_text", "fp", "rank", "digest", "shard", "size", "n", "key", "row", "_row", "removed", "spans", "item_id", "sequence_id", "_leak", "_doc", "_fp", "_wanted", "_kept", "_kept_fp", "_row2", "id", "label", "part", "failed", "node", "met", "root", "filter", "before", "digest"]
 WORDS, BYTES = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 
 
@@ -60,12 +77,15 @@ def operators(spark, items):
         "quality": lambda d: quality.judge(d, quality.train(d, labels)),
         "simhash": simhash.near_duplicates,
         "keep one": simhash.keep_one,
+        "keep one near": minhash.keep_one,
+        "tensored": tensored.near_duplicates,
+        "audit": lambda d: audit.interactions(d, spark.createDataFrame([(1, 1, 0), (1, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")),
         "token file": token_file,
         "language": lambda d: language.identify(d, language.train(d, F.lit(True))),
     }
 
 
-NAMES = ["sharding", "packing", "substring", "decontamination", "suffix tree", "quality", "simhash", "keep one", "token file", "language"]
+NAMES = ["sharding", "packing", "substring", "decontamination", "suffix tree", "quality", "simhash", "keep one", "keep one near", "tensored", "audit", "token file", "language"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -76,7 +96,7 @@ def test_an_empty_table_gives_an_empty_result(name, spark, none, items):
 @pytest.mark.parametrize("name", NAMES)
 def test_odd_rows_keep_their_place(name, spark, docs, items):
     got = operators(spark, items)[name](docs).collect()
-    if name in ("sharding", "substring", "suffix tree", "quality", "simhash", "token file", "language"):
+    if name in ("sharding", "substring", "suffix tree", "quality", "simhash", "tensored", "token file", "language"):
         assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in ROWS)
 
 
@@ -221,8 +241,9 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert got == {i: 0 for i in range(1, 61)} | {2000 + i: 1000 for i in range(200)}
 
 
-def test_one_of_each_group_stays(docs):
-    got = simhash.keep_one(docs)
+@pytest.mark.parametrize("keep_one", [simhash.keep_one, minhash.keep_one])
+def test_one_of_each_group_stays(docs, keep_one):
+    got = keep_one(docs)
     assert got.columns == docs.columns
     texts = [r["text"] for r in got.collect()]
     assert texts.count(PROSE * 3) == 1 and sum(not (t or "").strip() for t in texts) == 1
@@ -320,3 +341,187 @@ def test_passages_without_spaces_go(spark, letters):
     assert all(800 <= n <= 1200 for n in cut), cut
     assert got[99]["removed"] == []
     assert all("�" not in r["text"] for r in got.values())
+
+
+def test_a_document_that_mixes_languages_evenly_is_certain(spark):
+    parts = {"en": "the dog sleeps under the tree and runs over the hill", "de": "der Hund schläft unter dem Baum und läuft über den Hügel",
+             "fr": "le chien dort sous cet arbre puis court vers une colline"}
+    rows = [(k, text, lang) for k in range(20) for lang, text in parts.items()]
+    model = language.train(spark.createDataFrame(rows, SCHEMA), F.lit(True))
+    mixed = spark.createDataFrame([(1, " ".join(parts.values()), None)], SCHEMA)
+    (got,) = language.identify(mixed, model).collect()
+    assert got["score"] < 0.45 and got["certainty"] > 0.8 and {r["lang"] for r in got["runs"]} == set(parts)
+
+
+def test_tensored_classes_of_odd_rows(docs):
+    got = {}
+    for r in tensored.near_duplicates(docs).collect():
+        got.setdefault(r["doc_id"], set()).add((r["n_shingles"], r["component_id"], r["kept"]))
+    assert {n for n, _, _ in got[1]} == {19} and got[1] == {(19, 1, True)}
+    assert (19, 1, False) in got[4] and len(got[4]) == 2
+    assert got[2] == {(0, 2, True)} and got[3] == {(0, 3, True)} and got[8] == {(0, 8, True)} and got[9] == {(1, 9, True)}
+    assert {n for n, _, _ in got[None]} == {0, 15} or (0, None, True) in got[None]
+
+
+def test_hashes_of_either_collection_agree_as_often_as_they_should():
+    rng = np.random.default_rng(8)
+    for _ in range(3):
+        whole = rng.integers(0, 1 << 63, 400, "uint64")
+        a, b = np.unique(whole[:370]), np.unique(whole[30:])
+        hits = np.mean([np.mean(tensored.hashes(a ^ x) == tensored.hashes(b ^ x)) for x in rng.integers(0, 1 << 63, 60, "uint64")])
+        assert abs(hits - (340 / 400) ** tensored.HALF) < 0.06
+    assert (1 - 0.85**tensored.HALF) ** tensored.COLLECTION < 3e-7
+
+
+def test_unlike_texts_with_one_template_are_compared_in_linear_pairs(spark, monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(3, 9)))
+    template = " ".join(word() for _ in range(120))
+    rows = [(k, template + " " + " ".join(word() for _ in range(50))) for k in range(400)]
+    confirmed = tensored._confirmed
+
+    def counted(found, sets, least):
+        pairs.append(found.count())
+        return confirmed(found, sets, least)
+
+    monkeypatch.setattr(tensored, "_confirmed", counted)
+    totals = []
+    for n in (200, 400):
+        pairs = []
+        got = tensored.near_duplicates(spark.createDataFrame(rows[:n], "doc_id long, text string")).collect()
+        assert all(r["kept"] for r in got) and len(got) == n and pairs[-1] == 0
+        totals.append(sum(pairs))
+    assert totals[1] < 2.6 * totals[0]
+
+
+def test_near_copies_that_miss_the_threshold_cost_no_pairs(spark, monkeypatch):
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(4, 9)))
+    base = [word() for _ in range(150)]
+    rows = []
+    for k in range(300):
+        own = list(base)
+        for at in rng.sample(range(150), 3 + k % 3):
+            own[at] = word()
+        rows.append((k, " ".join(own)))
+    pairs, confirmed = [], tensored._confirmed
+
+    def counted(found, sets, least):
+        pairs.append(found.count())
+        return confirmed(found, sets, least)
+
+    monkeypatch.setattr(tensored, "_confirmed", counted)
+    got = tensored.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({r["component_id"] for r in got}) > 250 and pairs[-1] < 2000 < 300 * 299 / 2
+
+
+def test_near_copies_link_as_all_pairs_do(spark):
+    rng = random.Random(10)
+    plain = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(3000)]
+    rows = []
+    for _ in range(6):
+        base = rng.choices(plain, k=rng.randint(80, 300))
+        for _ in range(40):
+            own = list(base)
+            for at in rng.sample(range(len(own)), rng.randint(0, len(base) // 30)):
+                own[at] = rng.choice(plain)
+            rows.append((len(rows), " ".join(own)))
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, t in rows for w in [t.split()]}
+    root = {k: k for k in sets}
+    for a in sets:
+        for b in range(a):
+            if root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    got = tensored.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {k: (len(sets[k]), root[k]) for k in sets}
+    assert 6 <= len(set(root.values())) < 200
+
+
+@pytest.mark.parametrize("size", [1, 3, 64, 100])
+def test_intervals_hold_the_inner_products(size):
+    rng = np.random.default_rng(size)
+    rows = np.rint(rng.normal(size=(200, size)) * rng.choice([1, 30, 1000], (200, 1)))
+    rows[:3] = 0
+    codes, scales = negatives.encode(rows, negatives.rotation(64 * -(-size // 64)))
+    low, high = negatives.intervals(codes, scales, codes, scales)
+    true = rows @ rows.T
+    assert (low <= true).all() and (true <= high).all()
+    lengths = np.linalg.norm(rows, axis=1)
+    big = np.outer(lengths, lengths) > 100
+    assert ((high - low)[big] < 0.8 * np.outer(lengths, lengths)[big]).mean() > 0.9
+
+
+def brute_negatives(rows, every, scale=256):
+    usable = {}
+    for key, vector, label in rows:
+        if key is not None and label is not None and vector is not None and all(x is not None and np.isfinite(x) for x in vector):
+            whole = [int(np.floor(scale * float(x))) for x in vector]
+            usable[key] = min(usable.get(key, (label, whole)), (label, whole))
+    size = max((len(v) for _, v in usable.values()), default=0)
+    usable = {k: (label, np.array(v + [0] * (size - len(v)), dtype=object)) for k, (label, v) in usable.items()}
+    found = []
+    for a, (own, v) in usable.items():
+        if a % every:
+            continue
+        scored = sorted((-int(v @ w), k, label) for k, (label, w) in usable.items() if k != a)
+        for minus, positive, _ in [s for s in scored if s[2] == own][:5]:
+            fit = [(k, -s) for s, k, label in scored if label != own and 50 * -minus <= 100 * -s <= 95 * -minus][:3]
+            found += [(a, positive, n, k, -minus, s) for n, (k, s) in enumerate(fit, 1)]
+    return sorted(found)
+
+
+def test_negatives_of_odd_vectors_equal_brute_force(spark):
+    rng = random.Random(12)
+    f32 = lambda x: float(np.float32(x))
+    rows = [(k, [f32(rng.gauss(0, 0.2)) for _ in range(5)], k % 3) for k in range(120)]
+    rows += [(k + 200, [0.5, 0.25, 0.0, 0.0, 0.0], k % 3) for k in range(40)]
+    rows += [(300, None, 1), (310, [0.1, None], 1), (320, [float("nan")] * 5, 1), (330, [float("inf")] * 5, 0), (340, [0.5], None), (None, [0.5] * 5, 1)]
+    rows += [(350, [0.5, 0.25], 0), (360, [], 2), (10, [0.5] * 5, 0), (10, [0.5] * 5, 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumns({c: F.lit("clash") for c in ("id", "v", "codes", "group")})
+    for group in (4096, 16):
+        got = negatives.mine(df.repartition(3), F.col("id") % 5 == 0, group=group).collect()
+        assert sorted(tuple(r) for r in got) == brute_negatives(rows, 5) != []
+    assert negatives.mine(df.limit(0), F.lit(True)).collect() == []
+    one = spark.createDataFrame([(1, [3e18], 1)], "vec_id long, embedding array<double>, label int")
+    with pytest.raises(Exception, match="64 bits|overflow|OVERFLOW"):
+        negatives.mine(one, F.lit(True)).collect()
+
+
+def test_audit_of_any_filters_equals_brute_force(spark):
+    from itertools import permutations
+
+    rng = random.Random(13)
+    rows = [(k if k % 17 else None, rng.choice(["a", "b b", "", None, "c" * 9, f"own{k}"]), rng.choice(["x", None, ""]), k % 5 == 0, None if k % 7 == 0 else k % 3 == 0) for k in range(150)]
+    rows += rows[:10]
+    labels = [(k, k % 2, k % 3 == 0) for k in range(0, 150, 2)] + [(4, 1, 1), (None, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, p boolean, q boolean")
+    table = spark.createDataFrame([(k, int(a), int(b)) for k, a, b in labels], "doc_id long, quality int, toxic int")
+    found = audit.interactions(docs, table, {"P": F.col("p"), "Q": F.col("q")}, "R").collect()
+    least = {}
+    for key, text, *_ in rows:
+        if key is not None:
+            least[text or ""] = min(least.get(text or "", key), key)
+    fails = [{"P": p, "Q": bool(q), "R": key is not None and least[text or ""] < key} for key, text, _, p, q in rows]
+    good = {k for k, a, _ in labels if a == 1 and k is not None}
+    toxic = {k for k, _, b in labels if b and k is not None}
+    expected, removed = {}, {}
+    for part in ("x", ""):
+        own = [k for k, r in enumerate(rows) if (r[2] or "") == part]
+        for order in permutations("PQR"):
+            for step, name in enumerate(order, 1):
+                alive = [k for k in own if not any(fails[k][n] for n in order[: step - 1])]
+                gone = [k for k in alive if fails[k][name]]
+                removed[part, name] = removed.get((part, name), 0) + len(gone)
+                expected[part, "".join(order), step] = (
+                    len(alive) - len(gone), len(gone), sum(fails[k][name] for k in own) - len(gone),
+                    sum(fails[k][name] and sum(fails[k].values()) == 1 for k in own),
+                    sum(rows[k][0] in good for k in gone), sum(rows[k][0] in toxic for k in gone), name,
+                )
+    got = {(r["part"], r["filter_order"], r["step"]): r for r in found}
+    assert len(found) == len(got) and set(got) == set(expected)
+    for key, own in expected.items():
+        r = got[key]
+        assert (*[r[c] for c in audit.COUNTS[:-1]], r["filter"]) == own and r["shapley"] == removed[key[0], own[-1]]
+    with pytest.raises(ValueError):
+        audit.interactions(docs, table, {c: F.col("p") for c in "PQSTUVW"})

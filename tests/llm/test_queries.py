@@ -191,6 +191,26 @@ def test_op10_is_right_on_held_out_documents(run, sf_dir):
     assert sum(held) >= 0.95 * len(held)
 
 
+@pytest.mark.parametrize("name", ["op11_filter_audit", "op13_hard_negatives"])
+def test_op11_and_op13_match_sql(name, run, duck):
+    cursor = duck.execute(queries.SQL[name])
+    names, expected = [c[0] for c in cursor.description], cursor.fetchall()
+    assert sorted(tuple(r[n] for n in names) for r in run(name)) == sorted(expected) != []
+
+
+def test_op12_matches_all_pairs(run, texts):
+    words = {k: WORD.findall(t.translate(LOWER)) for k, t in texts.items()}
+    sets = {k: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for k, w in words.items()}
+    root = {k: k for k in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if b < a and sets[a] and root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in run("op12_tensored_minhash")}
+    assert got == {k: (len(s), root[k], root[k] == k) for k, s in sets.items()}
+
+
 def near_roots(texts):
     """The smallest id of each component of texts whose five-word shingles have a similarity of 0.8, by all pairs."""
     words = {k: t.translate(LOWER).split() for k, t in texts.items()}

@@ -73,10 +73,11 @@ def search(
     )
     sketch = staged(benchmark.where("in_sketch").select("item", "shingle"), "sketch")
 
-    held = exploded(docs.where(F.col(key).isNotNull()), key, text).select(F.col("id").alias("doc"), "shingle")
+    narrow = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    held = exploded(narrow, "_key", "_text").select(F.col("id").alias("doc"), "shingle")
     candidates = staged(held.join(sketch, "shingle").select("doc", "item").distinct(), "candidates")
-    found = docs.join(candidates.select(F.col("doc").alias("_doc")).distinct(), F.col(key) == F.col("_doc"), "left_semi")
-    held = exploded(found, key, text).select(F.col("id").alias("doc"), "shingle")
+    found = narrow.join(candidates.select(F.col("doc").alias("_doc")).distinct(), F.col("_key") == F.col("_doc"), "left_semi")
+    held = exploded(found, "_key", "_text").select(F.col("id").alias("doc"), "shingle")
     shared = held.join(benchmark, "shingle").groupBy("doc", "item", "n").agg(F.count_distinct("shingle").alias("n_shared"))
     sure = shared.join(candidates, ["doc", "item"]).where(F.col("n_shared") >= F.lit(threshold) * F.col("n") - F.lit(1e-9))
     return sure.select(
@@ -91,4 +92,4 @@ def search(
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item, with all their columns."""
     leaks = staged(search(docs, items, key, text, **options).select(F.col(key).alias("_leak")).distinct(), "leaks")
-    return docs.join(leaks, F.col(key) == F.col("_leak"), "left_anti")
+    return docs.join(leaks, docs[key] == leaks["_leak"], "left_anti")

@@ -162,11 +162,11 @@ def identify(
     keep: dict[str, Column] | None = None,
     block_words: int = 400_000,
 ) -> DataFrame:
-    """Per row: key, lang_pred, score, and ``runs``, the stretches of words of one language in order.
+    """Per row: key, lang_pred, score, certainty, and ``runs``, the stretches of words of one language in order.
 
     The language with most of the words' probability is predicted; ``score`` is its mean over
-    the words. A null text, one without a letter, and any text without a model is ``und``
-    with score 0. Repeated rows are returned each; other columns are ignored unless named in
+    the words, ``certainty`` the mean of each word's best probability, whatever its language. A null text, one without a letter, and any text without a model is ``und``
+    with score and certainty 0. Repeated rows are returned each; other columns are ignored unless named in
     ``keep``. A worker holds ``block_words`` words or one text at a time, and forgets its
     cached words when they are more than that.
     """
@@ -176,7 +176,7 @@ def identify(
     schema = ", ".join(
         [f"`{key}` {docs.schema[key].dataType.simpleString()}"]
         + [f"`{n}` {kept.schema[f'_keep_{n}'].dataType.simpleString()}" for n in extra]
-        + ["lang_pred string", "score double", "runs array<struct<lang: string, words: int>>"]
+        + ["lang_pred string", "score double", "certainty double", "runs array<struct<lang: string, words: int>>"]
     )
     types = arrow_types(schema)
 
@@ -197,7 +197,7 @@ def identify(
                 mine = shares[at : at + n]
                 at += n
                 if not n:
-                    yield (*own, NONE, 0.0, [])
+                    yield (*own, NONE, 0.0, 0.0, [])
                     continue
                 share = mine.mean(axis=0, dtype="float64")
                 best = int(share.argmax())
@@ -205,7 +205,8 @@ def identify(
                 turns = np.flatnonzero(np.diff(path, prepend=-1))
                 sizes = np.diff(turns, append=n).tolist()
                 runs = [{"lang": model.langs[path[i]], "words": k} for i, k in zip(turns.tolist(), sizes)]
-                yield (*own, model.langs[best], min(1.0, float(share[best])), runs)
+                certainty = min(1.0, float(mine.max(axis=1).mean(dtype="float64")))
+                yield (*own, model.langs[best], min(1.0, float(share[best])), certainty, runs)
 
         def every():
             nonlocal cache
@@ -214,7 +215,7 @@ def identify(
                 for at, whole in enumerate(columns["_text"]):
                     own = (columns["_key"][at], *[columns[n][at] for n in names])
                     if model is None:
-                        yield (*own, NONE, 0.0, [])
+                        yield (*own, NONE, 0.0, 0.0, [])
                         continue
                     block.append((own, (whole or "").split()))
                     held += len(block[-1][1])

@@ -147,7 +147,7 @@ def one_of_each(docs: DataFrame, own: DataFrame, fingerprint: Callable[[str | No
         return pd.Series([fingerprint(whole) for whole in texts], dtype="int64")
 
     same = docs[key].eqNullSafe(several[key])
-    again = docs.join(several, same, "left_semi").withColumn("_fp", print_of(F.col(text)))
+    again = docs.join(several, same, "left_semi").select(F.struct("*").alias("_row"), F.col(key).alias("_key"), print_of(F.col(text)).alias("_fp"))
     chosen = kept.select(F.col(key).alias("_kept"), F.col("fp").alias("_kept_fp"))
-    again = again.join(chosen, F.col(key).eqNullSafe(F.col("_kept")) & (F.col("_fp") == F.col("_kept_fp")), "left_semi")
-    return single.unionByName(again.dropDuplicates([key, "_fp"]).select(docs.columns))
+    again = again.join(chosen, F.col("_key").eqNullSafe(F.col("_kept")) & (F.col("_fp") == F.col("_kept_fp")), "left_semi")
+    return single.unionByName(again.dropDuplicates(["_key", "_fp"]).select("_row.*"))

@@ -33,6 +33,10 @@ _FUNCTIONS = 2 * COLLECTION * HALF
 _FACTORS = np.random.default_rng(12).integers(0, 1 << 63, (_FUNCTIONS, 1), "uint64") << np.uint64(1) | np.uint64(1)
 _MIX = np.random.default_rng(13).integers(0, 1 << 63, HALF, "uint64") << np.uint64(1) | np.uint64(1)
 _BLOCK = 4096
+#: How many different pivots a group of near copies meets in each round; the last pivots are those of the differences.
+_LANES = (4, 1)
+#: Sizes of differences are told apart in steps of this share of the pivot's size.
+_STEP = 0.03
 
 
 def digest(own: np.ndarray) -> bytes | None:
@@ -73,7 +77,7 @@ def nodes_of(found: DataFrame) -> DataFrame:
 
 
 def tables(nodes: DataFrame) -> DataFrame:
-    """(table, node) of every table key that several nodes have, staged."""
+    """(met, node) of every table key ``met`` that several nodes have, staged."""
 
     def side(name: str) -> DataFrame:
         own = nodes.select("node", F.posexplode(name).alias("at", "hash"))
@@ -81,16 +85,44 @@ def tables(nodes: DataFrame) -> DataFrame:
         return own.join(several.select("at", "hash"), ["at", "hash"])
 
     left, right = side("first"), side("second").toDF("at_2", "hash_2", "node")
-    keyed = left.join(right, "node").select(F.xxhash64("at", "hash", "at_2", "hash_2").alias("table"), "node")
+    keyed = left.join(right, "node").select(F.xxhash64("at", "hash", "at_2", "hash_2").alias("met"), "node")
     keyed = staged(keyed, "keys")
-    several = keyed.groupBy("table").agg(F.min("node").alias("pivot"), F.max("node").alias("_high")).where("pivot < _high")
-    return staged(keyed.join(several.select("table", "pivot"), "table"), "tables")
+    several = keyed.groupBy("met").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high")
+    return staged(keyed.join(several.select("met"), "met"), "tables")
 
 
 def _may_link(a: Column, b: Column, least: int) -> Column:
     return F.lit(100) * F.least(a, b) >= F.lit(least) * F.greatest(a, b)
 
 
+def _pivots(keyed: DataFrame, lanes: int, seed: int) -> DataFrame:
+    """(met, pivot): of each key's nodes the one nearest to one of ``lanes`` fixed patterns by exclusive-or.
+
+    The many keys of a group of near copies so agree on a few pivots.
+    """
+    patterns = np.random.default_rng(seed).integers(-(1 << 63), 1 << 63, lanes, "int64").tolist()
+    pattern = F.element_at(F.array(*[F.lit(p) for p in patterns]), (F.pmod("met", F.lit(lanes)) + 1).cast("int"))
+    nearest = keyed.groupBy("met").agg(F.min(F.col("node").bitwiseXOR(pattern)).alias("_nearest"))
+    return staged(nearest.select("met", F.col("_nearest").bitwiseXOR(pattern).alias("pivot")), "pivots")
+
+
+def _pivot_pairs(keyed: DataFrame, pivots: DataFrame, known: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b) of each key's pivot and its nodes of other groups, where sizes allow a link.
+
+    ``keyed`` holds (met, node) and ``known`` each node's size and root.
+    """
+    pairs = keyed.join(pivots.toDF("met", "a"), "met").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    pairs = pairs.join(known.toDF("a", "_size", "_root"), "a").join(known.toDF("b", "size", "root"), "b")
+    return pairs.where((F.col("_root") != F.col("root")) & _may_link(F.col("_size"), F.col("size"), least)).select("a", "b")
+
+
+def _undecided(keyed: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of keys whose nodes are in several groups, staged."""
+    rooted = keyed.join(known.select("node", "root"), "node")
+    apart = rooted.groupBy("met").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
+    return staged(keyed.join(apart.select("met"), "met", "left_semi"), "undecided")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets are similar enough, staged."""
 
@@ -107,25 +139,46 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return staged(met.where(linked("_a", "_b")).select("a", "b"), "links")
 
 
-def _rarest(members: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """(node, root, size, shingle): of each member, the rarest shingles, of which two linked sets must share one.
-
-    Rarity is counted over the members, ties go by the shingle's hash: one order for all.
-    """
+def _differences(spokes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(pivot, node, width, tokens): the shingles that only one of node and pivot has, and the step of sizes, staged."""
 
     def rows(batch):
-        for node, own in zip(batch["node"], batch["own"]):
-            yield node, np.frombuffer(own, "int64").tolist()
+        for pivot, node, first, second in zip(*(batch[c] for c in ("pivot", "node", "_first", "_second"))):
+            first, second = np.frombuffer(first, "uint64"), np.frombuffer(second, "uint64")
+            width = max(1, int(_STEP * len(first)))
+            yield pivot, node, width, np.setxor1d(first, second, assume_unique=True).view("int64").tolist()
 
-    listed = map_rows(sets.join(members.select("node"), "node", "left_semi"), "node long, shingles array<long>", rows, 64)
-    each = staged(listed.select("node", F.explode("shingles").alias("shingle")), "shingles")
-    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
-    own = each.join(often, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("own"))
-    needed = F.size("own") - F.ceil(F.size("own") * F.lit(least) / F.lit(100)).cast("int") + 1
-    rare = own.select("node", F.explode(F.slice("own", F.lit(1), needed)).alias("_rare"))
-    # A shingle of one member alone meets no other.
-    rare = rare.where("_rare.often > 1").select("node", F.col("_rare.shingle").alias("shingle"))
-    return staged(rare.join(members, "node"), "rarest")
+    met = spokes.join(sets.toDF("pivot", "_first"), "pivot").join(sets.toDF("node", "_second"), "node")
+    return staged(map_rows(met, "pivot long, node long, width int, tokens array<long>", rows, 64), "differences")
+
+
+def _rest(differences: DataFrame, known: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different groups whose differences from one pivot share a token that a link needs.
+
+    A link of a to a node with a difference of at least ``low`` tokens shares at least half of
+    ``|A| + low - most`` of them, ``most`` being the largest symmetric difference that a
+    link of a text of its size allows. So the rarest ``|A| - shared + 1`` tokens of either
+    meet, in an order that all differences from a pivot have in common. Partners are told apart by the step
+    of their size, which says how many tokens that are.
+    """
+    each = staged(differences.select("pivot", "node", "width", F.explode("tokens").alias("token")), "tokens")
+    often = each.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("often"))
+    own = each.join(often, ["pivot", "token"]).groupBy("pivot", "node", "width")
+    own = own.agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("own")).join(known, "node")
+    n, most = F.size("own"), F.col("size") * F.lit((100 - least) / least) + F.lit(1e-6)
+    steps = F.sequence(F.greatest(F.lit(0), F.floor((n - most) / F.col("width"))).cast("int"), F.floor((n + most) / F.col("width")).cast("int"))
+    own = own.select("pivot", "node", "root", "size", "own", most.alias("most"), F.floor(n / F.col("width")).cast("int").alias("step"), "width", F.explode(steps).alias("other"))
+    shared = F.greatest(F.lit(1), F.ceil((n + F.col("other") * F.col("width") - F.col("most")) / 2).cast("int"))
+    needed = F.slice("own", F.lit(1), F.greatest(F.lit(0), n - shared + 1))
+    # A token of one difference alone meets no other.
+    tokens = F.transform(F.filter(needed, lambda t: t["often"] > 1), lambda t: t["token"])
+    low, high = F.least("step", "other").alias("low"), F.greatest("step", "other").alias("high")
+    rare = staged(own.select("pivot", low, high, "step", "node", "root", "size", F.explode(tokens).alias("token")), "rarest")
+    left = rare.where("step = low").select("pivot", "low", "high", "token", F.col("node").alias("a"), F.col("root").alias("_root"), F.col("size").alias("_size"))
+    right = rare.where("step = high").select("pivot", "low", "high", "token", F.col("node").alias("b"), "root", "size")
+    once = (F.col("low") < F.col("high")) | (F.col("a") < F.col("b"))
+    met = left.join(right, ["pivot", "low", "high", "token"]).where(once & (F.col("_root") != F.col("root")))
+    return met.where(_may_link(F.col("_size"), F.col("size"), least)).select("a", "b").distinct()
 
 
 def links(docs: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
@@ -144,22 +197,22 @@ def links(docs: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str = "t
     sets = map_rows(chosen, "fp binary, own binary", rows, 64).dropDuplicates(["fp"])
     sets = staged(sets.join(nodes.select("fp", "node"), "fp").select("node", "own"), "sets")
 
-    sizes = nodes.select("node", "size")
-    pairs = met.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = pairs.join(sizes.toDF("a", "_a"), "a").join(sizes.toDF("b", "_b"), "b").where(_may_link(F.col("_a"), F.col("_b"), least))
-    first = _confirmed(pairs.select("a", "b"), sets, least)
-
-    roots = components(first).toDF("node", "root")
-    rooted = met.join(roots, "node", "left").select("table", "node", F.coalesce("root", "node").alias("root"))
-    rooted = staged(rooted, "rooted")
-    apart = rooted.groupBy("table").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
-    members = rooted.join(apart.select("table"), "table", "left_semi").select("node", "root").distinct()
-    rare = _rarest(staged(members.join(sizes, "node"), "members"), sets, least)
-    left = rare.select(F.col("node").alias("a"), F.col("root").alias("_root"), F.col("size").alias("_size"), "shingle")
-    right = rare.select(F.col("node").alias("b"), "root", "size", "shingle")
-    near = (F.col("_root") < F.col("root")) & _may_link(F.col("_size"), F.col("size"), least)
-    second = left.join(right, "shingle").where(near).select("a", "b").distinct()
-    return first.unionByName(_confirmed(second, sets, least))
+    known, found = nodes.select("node", "size", F.col("node").alias("root")), None
+
+    def joined(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        own = _confirmed(pairs, sets, least)
+        whole = own if found is None else staged(found.unionByName(own), "links")
+        roots = components(whole).toDF("node", "_root")
+        rooted = known.join(roots, "node", "left").select("node", "size", F.coalesce("_root", "node").alias("root"))
+        return staged(rooted, "known"), whole
+
+    for k, lanes in enumerate(_LANES):
+        pivots = _pivots(met, lanes, k)
+        known, found = joined(_pivot_pairs(met, pivots, known, least))
+        met = _undecided(met, known)
+    spokes = met.join(pivots, "met").where("node <> pivot").select("pivot", "node").distinct()
+    rest = _rest(_differences(spokes, sets), known, least)
+    return found.unionByName(_confirmed(rest, sets, least))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
