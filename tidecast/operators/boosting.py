@@ -215,7 +215,8 @@ def best_splits(cells: DataFrame, params: Sequence[Params]) -> DataFrame:
         return shrunk * shrunk / (h + own("l2"))
 
     each = ["model", "node", "feature"]
-    sums = cells.repartition(*each).groupBy(*each, "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    # One shuffle: a node's cells, bounded by features and bins, stay together to the end.
+    sums = cells.repartition("model", "node").groupBy(*each, "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
     whole = Window.partitionBy(*each)
     upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     unit = F.lit(float(_UNIT))
@@ -297,7 +298,7 @@ def grow(
             raw = pa.array([b.tobytes() for b in bins], pa.binary())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in (*kept, "at", "id", "y")], raw], schema=arrow)
 
-    rows = _stored(source.mapInArrow(bin_rows, schema), "bins")
+    rows = _stored(source.hint("rebalance").mapInArrow(bin_rows, schema), "bins")
     models, predictions = [Boosted(columns, cuts, j.params) for j in jobs], []
     room = max(1, _ROOM // (16 * len(columns) * (width + 1) * max(1 << (j.params.depth - 1) for j in jobs))) if jobs else 1
     for start in range(0, len(jobs), room):

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,7 @@ from tidecast.operators import (
     influence,
     ledger,
     model,
+    network,
     sentiment,
     series,
     skew,
@@ -856,19 +858,46 @@ def relevance_filter(spark: SparkSession, d: str) -> DataFrame:
     return model.relevant(fitted, rows).select("doc_id", "date", "media")
 
 
+def _aspect_labels(spark: SparkSession, labelled: DataFrame) -> DataFrame:
+    """The labelled texts per aspect, with the class that the lexicon gives them."""
+    marked = sentiment.lexicon_polarity(labelled, ["doc_id"], fx.lexicon(spark))
+    index = F.array_position(F.array(*[F.lit(p) for p in scoring.POLARITIES]), F.col("polarity")) - 1
+    return labelled.join(marked.select("doc_id", "aspect", index.cast("double").alias("label")), "doc_id")
+
+
 @query
 def text_polarity(spark: SparkSession, d: str) -> DataFrame:
     """A polarity for every text and aspect, learned from labels that differ by aspect."""
     rows, labelled = _labelled(spark, d)
-    marked = sentiment.lexicon_polarity(labelled, ["doc_id"], fx.lexicon(spark))
-    index = F.array_position(F.array(*[F.lit(p) for p in scoring.POLARITIES]), F.col("polarity")) - 1
-    marked = marked.select("doc_id", "aspect", index.cast("double").alias("label"))
-    fitted = model.fit_text(labelled.join(marked, "doc_id"), pair_col="aspect")
+    fitted = model.fit_text(_aspect_labels(spark, labelled), pair_col="aspect")
     scored = model.classify_text(fitted, sentiment.expand_aspects(rows), pair_col="aspect")
     label = scoring.argmax_label(F.col("probabilities"), scoring.POLARITIES)
     return scored.select("doc_id", "aspect", label.alias("polarity"))
 
 
+NETWORK = network.Shape(classes=2, steps=12, rate=0.1)
+
+
+@query
+def network_relevance(spark: SparkSession, d: str) -> DataFrame:
+    """The relevance of every text by the network, trained on the labelled ones."""
+    rows, labelled = _labelled(spark, d)
+    fitted = network.fit(labelled.withColumn("label", F.col("quality")), NETWORK)
+    scored = network.classify(fitted, rows.select("doc_id", "content"))
+    return scored.select("doc_id", "prediction", F.col("probabilities")[1].alias("p_relevant"))
+
+
+@query
+def network_polarity(spark: SparkSession, d: str) -> DataFrame:
+    """A polarity for every text and aspect by the network, learned from the lexicon's labels."""
+    rows, labelled = _labelled(spark, d)
+    shape = replace(NETWORK, classes=len(scoring.POLARITIES))
+    fitted = network.fit(_aspect_labels(spark, labelled), shape, pair_col="aspect")
+    scored = network.classify(fitted, sentiment.expand_aspects(rows).select("doc_id", "aspect", "content"), pair_col="aspect")
+    label = scoring.argmax_label(F.col("probabilities"), scoring.POLARITIES)
+    return scored.select("doc_id", "aspect", label.alias("polarity"))
+
+
 @query
 def batch_infer(spark: SparkSession, d: str) -> DataFrame:
     def load() -> Callable[[pd.DataFrame], pd.DataFrame]:
