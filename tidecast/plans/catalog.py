@@ -36,7 +36,7 @@ from tidecast.plans import daily_job
 from tidecast.plans import feature_table as flagship
 from tidecast.plans.stumps import STUMP_CUTS, STUMP_FEATURES, STUMP_SETTINGS
 from tidecast.session import scratch_dir
-from tidecast.sources import daily, pages, writers
+from tidecast.sources import daily, merge, pages, versions, writers
 from tidecast.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -697,6 +697,39 @@ def upsert_by_date(spark: SparkSession, d: str) -> DataFrame:
     return writers.upsert(new, close, [*KEY, "date"])
 
 
+@query
+def insert_stored_days(spark: SparkSession, d: str) -> DataFrame:
+    """``insert_if_absent`` into stored days: only the days of the delivery are read and replaced."""
+    path, trends = scratch_dir(spark, "inserted"), fx.trends(spark, d)
+    merge.insert_days(trends.where(F.col("date") <= dt.date(2024, 1, 20)), path, [*KEY, "date"])
+    new = trends.where(F.col("date") >= dt.date(2024, 1, 15)).withColumn("trends", F.col("trends") + 1000)
+    merge.insert_days(new, path, [*KEY, "date"])
+    return spark.read.schema(trends.schema).parquet(path)
+
+
+@query
+def upsert_stored_days(spark: SparkSession, d: str) -> DataFrame:
+    """``upsert_by_date`` into stored days."""
+    path, close = scratch_dir(spark, "upserted"), fx.close(spark, d)
+    merge.upsert_days(close, path, [*KEY, "date"])
+    new = close.where(F.col("date") >= dt.date(2024, 1, 15)).withColumn("close_price", F.col("close_price") * 2)
+    merge.upsert_days(new, path, [*KEY, "date"])
+    return spark.read.schema(close.schema).parquet(path)
+
+
+@query
+def versioned_tables(spark: SparkSession, d: str) -> DataFrame:
+    """A table that grows by a version's rows beside one that is replaced; old versions go."""
+    root = scratch_dir(spark, "versions")
+    trends, close = fx.trends(spark, d), fx.close(spark, d)
+    for first, last in ((1, 10), (11, 20), (21, 31)):
+        new = trends.where(F.day("date").between(first, last))
+        versions.commit(spark, root, {"trends": versions.Change(new, append=True), "close": versions.Change(close.where(F.day("date") <= last))})
+    versions.expire(spark, root, keep=1)
+    tables = versions.tables(spark, root, versions.load(spark, root))
+    return tables["trends"].join(tables["close"], [*KEY, "date"])
+
+
 @query
 def write_record_json(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_dir(spark, "json")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidecast.functions import text
 from tidecast.operators import calendar, checks, features, folds, ledger, model, sentiment, series
 from tidecast.session import scratch_dir
-from tidecast.sources import writers
+from tidecast.sources import versions, writers
 
 RowFilter = Callable[[DataFrame], DataFrame]
 
@@ -169,3 +169,60 @@ def publish(spark: SparkSession, updated: Ledger, record: DataFrame, root: str,
         "records": record,
     }
     writers.publish(spark, tables, root, version)
+
+
+def publish_day(record: DataFrame, totals: DataFrame, trends: DataFrame, keys: list[str], root: str) -> versions.Version:
+    """One day into the versioned ledger at ``root``: score what was forecast, keep the new forecast, refresh the reports.
+
+    ``results`` and ``records`` grow by the rows that are not there yet, so a day that is run again
+    adds none; ``current``, ``sentiment`` and ``trends`` are replaced. A price without an earlier
+    forecast has nothing to score. Of two runs at once, one raises ``versions.VersionTaken`` and
+    has changed nothing.
+    """
+    spark = record.sparkSession
+    base = versions.load(spark, root)
+    stored = versions.tables(spark, root, base)
+    path = scratch_dir(spark, "record")
+    record.write.parquet(path)
+    record = spark.read.parquet(path)
+    before = {**_first_tables(record, keys), **stored}
+    results = before["results"]
+    updated = update_ledger(record, Ledger(results, before["current"], before["sentiment"], before["trends"]), totals, trends, keys)
+    scored = updated.results.where(F.col("price_diff").isNotNull()).join(results, [*keys, "datetime"], "left_anti")
+    fresh = record
+    if "records" in stored:
+        fresh = record.join(stored["records"], [*keys, "utc_date"], "left_anti").select(record.columns)
+    return versions.commit(
+        spark,
+        root,
+        {
+            "results": versions.Change(scored.select(results.columns), append="results" in stored),
+            "records": versions.Change(fresh, append="records" in stored),
+            "current": versions.Change(updated.current),
+            "sentiment": versions.Change(updated.sentiment),
+            "trends": versions.Change(updated.trends),
+        },
+        base,
+    )
+
+
+def _first_tables(record: DataFrame, keys: list[str]) -> dict[str, DataFrame]:
+    """The empty tables of a ledger that nothing was published to."""
+    spark = record.sparkSession
+    own = {f.name: f.dataType.simpleString() for f in record.schema.fields}
+    series = ", ".join(f"`{k}` {own[k]}" for k in keys)
+    price, count, trends = own["reference_price"], own["twitter_positive_sentiment"], own["google_trends"]
+    schemas = {
+        "results": f"{series}, datetime string, price {price}, day int, price_diff {price}, outcome string",
+        "current": f"{series}, target_date string, reference_price {price}, prediction string, positive {count}, negative {count}, trends {trends}",
+        "sentiment": f"{series}, date string, total_positive long, total_negative long",
+        "trends": f"{series}, date string, trends long",
+    }
+    return {name: spark.createDataFrame([], schema) for name, schema in schemas.items()}
+
+
+def run_day(
+    table: DataFrame, totals: DataFrame, trends: DataFrame, keys: list[str], settings: Settings, root: str
+) -> versions.Version:
+    """A whole day: forecast from the feature table, then publish. It can be run again, alone or beside another run."""
+    return publish_day(forecast(table, keys, settings), totals, trends, keys, root)

@@ -724,4 +724,5 @@ BODIES = {
 
 def statements() -> dict[str, str]:
     """Query name to a complete statement. Model fits have none."""
-    return {name: with_views(body) for name, body in BODIES.items()}
+    same = {"insert_stored_days": "insert_if_absent", "upsert_stored_days": "upsert_by_date", "versioned_tables": "publish_tables"}
+    return {name: with_views(body) for name, body in (BODIES | {n: BODIES[o] for n, o in same.items()}).items()}
