@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidecast import fixtures as fx
 from tidecast.functions import reltime, scoring, text
 from tidecast.operators import (
+    asof,
     calendar,
     checks,
     evaluate,
@@ -508,6 +509,18 @@ def asof_last_prediction(spark: SparkSession, d: str) -> DataFrame:
     return ledger.last_prediction(fx.prices(spark, d), fx.predictions(spark, d), KEY)
 
 
+@query
+def asof_events(spark: SparkSession, d: str) -> DataFrame:
+    """Every click with the last view of its user within two days before it, at event size."""
+    events = fx.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    clicks = events.where(F.col("event_type") == "click").select("event_id", "user_id", "ts")
+    views = events.where(F.col("event_type") == "view").select("user_id", "ts", F.col("event_id").alias("view_id"), F.col("value").alias("view_value"))
+    return asof.asof_join(
+        clicks, views, ["user_id"], "ts", ["view_id", "view_value"], "view_id",
+        tolerance=F.make_dt_interval(F.lit(2)), matched="view_ts",
+    )
+
+
 @query
 def ledger_append(spark: SparkSession, d: str) -> DataFrame:
     rows = ledger.outcomes(fx.prices(spark, d), fx.predictions(spark, d), KEY)

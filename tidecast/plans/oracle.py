@@ -615,6 +615,16 @@ BODIES = {
         FROM (SELECT *, lead(close_price) OVER (PARTITION BY series_id ORDER BY date) - close_price
                   AS change FROM fx_predictions)""",
     "asof_last_prediction": "SELECT * FROM fx_asof",
+    "asof_events": """
+        SELECT c.event_id, c.user_id, c.ts,
+               CASE WHEN c.ts - v.ts <= INTERVAL 2 DAY THEN v.event_id END AS view_id,
+               CASE WHEN c.ts - v.ts <= INTERVAL 2 DAY THEN v.value END AS view_value,
+               CASE WHEN c.ts - v.ts <= INTERVAL 2 DAY THEN v.ts END AS view_ts
+        FROM (SELECT * FROM events WHERE event_type = 'click') AS c
+        ASOF LEFT JOIN (
+            SELECT * FROM events WHERE event_type = 'view'
+            QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1
+        ) AS v ON c.user_id = v.user_id AND c.ts > v.ts""",
     "ledger_append": """
         SELECT series_id, datetime, price, day, price_diff,
                CASE WHEN datetime < '2000-01-01' THEN 'Stored' ELSE outcome END AS outcome
