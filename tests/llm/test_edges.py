@@ -378,20 +378,41 @@ def test_unlike_texts_with_one_template_are_compared_in_linear_pairs(spark, monk
     word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(3, 9)))
     template = " ".join(word() for _ in range(120))
     rows = [(k, template + " " + " ".join(word() for _ in range(50))) for k in range(400)]
-    confirmed = tensored._confirmed
+    pairs, measured = [], tensored._measured
 
     def counted(found, sets, least):
         pairs.append(found.count())
-        return confirmed(found, sets, least)
+        return measured(found, sets, least)
 
-    monkeypatch.setattr(tensored, "_confirmed", counted)
-    totals = []
-    for n in (200, 400):
-        pairs = []
-        got = tensored.near_duplicates(spark.createDataFrame(rows[:n], "doc_id long, text string")).collect()
-        assert all(r["kept"] for r in got) and len(got) == n and pairs[-1] == 0
-        totals.append(sum(pairs))
-    assert totals[1] < 2.6 * totals[0]
+    monkeypatch.setattr(tensored, "_measured", counted)
+    got = tensored.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["kept"] for r in got) and len(got) == 400 and sum(pairs) < 2 * 400
+
+
+def test_nodes_far_from_a_pivot_get_another(spark, monkeypatch):
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(4, 9)))
+    bases = [[word() for _ in range(120)] for _ in range(5)]
+    whole = bases[0]
+    rows = []
+    for k in range(200):
+        own = list(bases[k % 5]) if k % 10 < 5 else whole[: 24 * (k % 5)] + bases[k % 5][24 * (k % 5) :]
+        for at in rng.sample(range(120), k % 4):
+            own[at] = word()
+        rows.append((k, " ".join(own)))
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, t in rows for w in [t.split()]}
+    root = {k: k for k in sets}
+    for a in sets:
+        for b in range(a):
+            if root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    monkeypatch.setattr(tensored, "_clusters", lambda met: tensored.staged(
+        met.select("node", F.lit(met.agg(F.min("node")).first()[0] or 0).alias("pivot")).distinct(), "clusters"))
+    for rounds in (1, 2, 4):
+        monkeypatch.setattr(tensored, "ROUNDS", rounds)
+        got = tensored.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == root
 
 
 def test_near_copies_that_miss_the_threshold_cost_no_pairs(spark, monkeypatch):

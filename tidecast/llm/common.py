@@ -190,11 +190,9 @@ class WordIds(dict):
 
     def forget(self) -> None:
         """Give the memory of all units back."""
-        import ctypes
-
         self.clear()
         self.old = {}
-        ctypes.CDLL(None).malloc_trim(0)
+        release()
 
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -241,6 +239,16 @@ def word_ids(path: str) -> Iterator[WordIds]:
         _WORD_IDS[path].forget()
 
 
+def release() -> None:
+    """Give memory that was freed back to the system: workers are reused, and the next stage has other needs."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    ctypes.CDLL(None).malloc_trim(0)
+
+
 def arrow_types(schema: str):
     """The Arrow schema of a schema string; needs the driver's session."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -271,7 +279,11 @@ def map_rows(
 ) -> DataFrame:
     """``df`` through ``rows``, which gets the columns of some rows as lists and yields tuples of ``schema``."""
     types = arrow_types(schema)
-    return df.mapInArrow(
-        lambda batches: record_batches(types, (r for columns in columns_of(batches) for r in rows(columns)), size),
-        schema,
-    )
+
+    def run(batches):
+        try:
+            yield from record_batches(types, (r for columns in columns_of(batches) for r in rows(columns)), size)
+        finally:
+            release()
+
+    return df.mapInArrow(run, schema)

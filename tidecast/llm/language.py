@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm import crf
-from tidecast.llm.common import columns_of, arrow_types, record_batches
+from tidecast.llm.common import arrow_types, columns_of, record_batches, release
 
 FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
@@ -134,6 +134,9 @@ def train(
     return Model(langs, weights.astype("float32"), moves, lexicon)
 
 
+_WORDS_AT_ONCE = 16_384
+
+
 class _Scores(dict):
     """Row numbers of tokens in ``table``, which has their label scores; row 0 is for tokens without a letter."""
 
@@ -147,8 +150,10 @@ class _Scores(dict):
         words = list(dict.fromkeys(w for w in own.values() if w))
         if words:
             places = {w: k + len(self.table) for k, w in enumerate(words)}
-            new = scores_of(self.model.weights, *features(words, self.model.lexicon), len(words))
-            self.table = np.concatenate([self.table, new.astype("float32")])
+            # The features of many words at once would take far more room than their scores.
+            parts = (words[at : at + _WORDS_AT_ONCE] for at in range(0, len(words), _WORDS_AT_ONCE))
+            new = [scores_of(self.model.weights, *features(part, self.model.lexicon), len(part)).astype("float32") for part in parts]
+            self.table = np.concatenate([self.table, *new])
             self.update((t, places[w] if w else 0) for t, w in own.items())
         else:
             self.update(dict.fromkeys(own, 0))
@@ -160,6 +165,7 @@ def identify(
     key: str = "doc_id",
     text: str = "text",
     keep: dict[str, Column] | None = None,
+    keep_text: str | None = None,
     block_words: int = 400_000,
 ) -> DataFrame:
     """Per row: key, lang_pred, score, certainty, and ``runs``, the stretches of words of one language in order.
@@ -167,7 +173,7 @@ def identify(
     The language with most of the words' probability is predicted; ``score`` is its mean over
     the words, ``certainty`` the mean of each word's best probability, whatever its language. A null text, one without a letter, and any text without a model is ``und``
     with score and certainty 0. Repeated rows are returned each; other columns are ignored unless named in
-    ``keep``. A worker holds ``block_words`` words or one text at a time, and forgets its
+    ``keep``, and the text is returned as ``keep_text`` if that is named. A worker holds ``block_words`` words or one text at a time, and forgets its
     cached words when they are more than that.
     """
     extra = keep or {}
@@ -176,6 +182,7 @@ def identify(
     schema = ", ".join(
         [f"`{key}` {docs.schema[key].dataType.simpleString()}"]
         + [f"`{n}` {kept.schema[f'_keep_{n}'].dataType.simpleString()}" for n in extra]
+        + ([f"`{keep_text}` string"] if keep_text else [])
         + ["lang_pred string", "score double", "certainty double", "runs array<struct<lang: string, words: int>>"]
     )
     types = arrow_types(schema)
@@ -213,7 +220,7 @@ def identify(
             block, held = [], 0
             for columns in columns_of(batches):
                 for at, whole in enumerate(columns["_text"]):
-                    own = (columns["_key"][at], *[columns[n][at] for n in names])
+                    own = (columns["_key"][at], *[columns[n][at] for n in names], *([whole] if keep_text else []))
                     if model is None:
                         yield (*own, NONE, 0.0, 0.0, [])
                         continue
@@ -227,6 +234,10 @@ def identify(
             if block:
                 yield from labelled(block)
 
-        yield from record_batches(types, every(), 1024)
+        try:
+            yield from record_batches(types, every(), 1024)
+        finally:
+            cache = None
+            release()
 
     return kept.mapInArrow(run, schema)

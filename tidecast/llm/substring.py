@@ -9,11 +9,11 @@ its text came earlier in the document or lies in a document of smaller rank; rep
 """
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidecast.llm.common import staged
+from tidecast.llm.common import release, staged
 
 WINDOW = 16
 #: One white space in so many ends a chunk.
@@ -152,13 +152,16 @@ def dedup(
     def pairs(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            ranks = batch.column(0).to_pylist()
-            for start in range(0, batch.num_rows, 128):
-                own = [list(set(runs(t, min_bytes)[3])) for t in batch.column(1).slice(start, 128).to_pylist()]
-                found = np.fromiter((d for ds in own for d in ds), "int64")
-                whose = np.repeat(np.array(ranks[start : start + 128], "int64"), [len(ds) for ds in own])
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(whose)], names=["digest", "rank"])
+        try:
+            for batch in batches:
+                ranks = batch.column(0).to_pylist()
+                for start in range(0, batch.num_rows, 128):
+                    own = [list(set(runs(t, min_bytes)[3])) for t in batch.column(1).slice(start, 128).to_pylist()]
+                    found = np.fromiter((d for ds in own for d in ds), "int64")
+                    whose = np.repeat(np.array(ranks[start : start + 128], "int64"), [len(ds) for ds in own])
+                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(whose)], names=["digest", "rank"])
+        finally:
+            release()
 
     held = narrow.mapInArrow(pairs, "digest long, rank long")
     shared = held.groupBy("digest").agg(F.min("rank").alias("_first"), F.max("rank").alias("_last"))
@@ -166,21 +169,34 @@ def dedup(
     repeats = held.join(shared, "digest").where(F.col("rank") > F.col("_first"))
     lists = repeats.groupBy("rank").agg(F.collect_set("digest").alias("_repeats")).withColumnRenamed("rank", "_whose")
 
-    @F.pandas_udf("text string, spans array<struct<start: long, end: long>>")
-    def cut(texts: pd.Series, repeats: pd.Series) -> pd.DataFrame:
-        rows = []
-        for whole, own in zip(texts, repeats):
+    names = [c for c in docs.columns if c != removed]
+    met = docs.select(F.struct(*[F.col(c) for c in names]).alias("_row"), F.when(F.col(text).isNotNull(), rank).alias("_rank"))
+    met = met.join(lists, met["_rank"] == lists["_whose"], "left")
+    schema = met.select("_row", F.lit(None).cast("string").alias("_text"), F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))).alias("_spans")).schema
+    types = to_arrow_schema(schema)
+
+    def cut(batches):
+        import pyarrow as pa
+
+        def one(whole: str | None, own: list | None) -> tuple[str | None, list]:
             raw, ends, chunks_of, digests = runs(whole, min_bytes)
             spans = removed_spans(ends, digests, set() if own is None else set(own), min_bytes, chunks_of)
             if spans:
                 rest = [raw[a:b] for a, b in zip([0, *[b for _, b in spans]], [*[a for a, _ in spans], len(raw)])]
                 whole = b"".join(rest).decode("utf-8", "replace")
-            rows.append((whole, [{"start": a, "end": b} for a, b in spans]))
-        return pd.DataFrame(rows, columns=["text", "spans"])
-
-    names = [c for c in docs.columns if c != removed]
-    met = docs.select(F.struct(*[F.col(c) for c in names]).alias("_row"), F.when(F.col(text).isNotNull(), rank).alias("_rank"))
-    met = met.join(lists, met["_rank"] == lists["_whose"], "left")
-    done = met.withColumn("_cut", cut(F.col(f"_row.`{text}`"), "_repeats"))
-    out = [F.col("_cut.text").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in names]
-    return done.select(*out, *([F.col("_cut.spans").alias(removed)] if removed else []))
+            return whole, [{"start": a, "end": b} for a, b in spans]
+
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 128):
+                    part = batch.slice(start, 128)
+                    texts = part.column("_row").field(part.column("_row").type.get_field_index(text))
+                    done = [one(t, own) for t, own in zip(texts.to_pylist(), part.column("_repeats").to_pylist())]
+                    columns = [part.column("_row"), pa.array([t for t, _ in done], pa.string()), pa.array([x for _, x in done], types.field("_spans").type)]
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, types)], schema=types)
+        finally:
+            release()
+
+    done = met.select("_row", "_repeats").mapInArrow(cut, schema)
+    out = [F.col("_text").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in names]
+    return done.select(*out, *([F.col("_spans").alias(removed)] if removed else []))

@@ -9,10 +9,22 @@ above.
 
 Texts of equal sets are one node. A hash that one node alone has can not be half of a shared
 key, so such hashes are dropped before the keys are formed. Candidates never are all pairs of a
-table: first every node of a table is compared with one of them, which joins the groups of near
-copies. In tables that still hold several groups, two nodes are compared only if they share
-one of their rarest shingles, as many as a link can not do without; that search is exact, so a
-phrase that many unlike texts share costs a row for each of them and no pairs.
+table. Nodes that tables connect form a cluster, and every node is compared with one of it, its
+pivot, which joins most near copies. The others are told by their differences from the pivot, the
+shingles that only one of node and pivot has. The symmetric difference of two nodes is that of their
+differences, so two linked nodes must have most of theirs in common; they are compared only if
+they share one of the rarest, as many as a link of their sizes can not do without. That search is
+exact, and what all copies of a text share is in no difference, so near copies that just miss
+the threshold and unlike texts with one template cost a row for each and hardly any pairs.
+
+Nodes far from their pivot are clustered anew without the near ones. The Jaccard distance is a
+metric: of two linked nodes either both are within ``NEAR`` and a link's length of the pivot, or
+both are beyond ``NEAR``, so no pair is lost between the rounds. The last round takes all that is left.
+
+Two nodes whose differences have nothing in common are linked only if both are linked to the pivot:
+let c be (1 - t) / (1 + t) for the threshold t. A link means that the symmetric difference d is at
+most c (|a| + |b|). Here d = |A| + |B| for the differences A and B, and |b| <= |p| + |B|, so
+|A| <= c (|a| + |p|) + (c - 1) |B|, which links a and p; likewise b and p.
 """
 
 from __future__ import annotations
@@ -33,8 +45,8 @@ _FUNCTIONS = 2 * COLLECTION * HALF
 _FACTORS = np.random.default_rng(12).integers(0, 1 << 63, (_FUNCTIONS, 1), "uint64") << np.uint64(1) | np.uint64(1)
 _MIX = np.random.default_rng(13).integers(0, 1 << 63, HALF, "uint64") << np.uint64(1) | np.uint64(1)
 _BLOCK = 4096
-#: How many different pivots a group of near copies meets in each round; the last pivots are those of the differences.
-_LANES = (4, 1)
+#: The distance from a pivot up to which nodes are done with it, and how many pivots a node may meet.
+NEAR, ROUNDS = 0.5, 3
 #: Sizes of differences are told apart in steps of this share of the pivot's size.
 _STEP = 0.03
 
@@ -87,56 +99,49 @@ def tables(nodes: DataFrame) -> DataFrame:
     left, right = side("first"), side("second").toDF("at_2", "hash_2", "node")
     keyed = left.join(right, "node").select(F.xxhash64("at", "hash", "at_2", "hash_2").alias("met"), "node")
     keyed = staged(keyed, "keys")
-    several = keyed.groupBy("met").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high")
-    return staged(keyed.join(several.select("met"), "met"), "tables")
+    return _several(keyed)
 
 
-def _may_link(a: Column, b: Column, least: int) -> Column:
-    return F.lit(100) * F.least(a, b) >= F.lit(least) * F.greatest(a, b)
+def _several(keyed: DataFrame) -> DataFrame:
+    """The rows of keys that several nodes have, staged."""
+    shared = keyed.groupBy("met").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high")
+    return staged(keyed.join(shared.select("met"), "met"), "tables")
 
 
-def _pivots(keyed: DataFrame, lanes: int, seed: int) -> DataFrame:
-    """(met, pivot): of each key's nodes the one nearest to one of ``lanes`` fixed patterns by exclusive-or.
+def _clusters(keyed: DataFrame) -> DataFrame:
+    """(node, pivot): the nodes that keys connect, each with the least of them, staged.
 
-    The many keys of a group of near copies so agree on a few pivots.
+    Every node first takes the least node that any of its keys has; the keys then hold few
+    different labels, and only those are connected.
     """
-    patterns = np.random.default_rng(seed).integers(-(1 << 63), 1 << 63, lanes, "int64").tolist()
-    pattern = F.element_at(F.array(*[F.lit(p) for p in patterns]), (F.pmod("met", F.lit(lanes)) + 1).cast("int"))
-    nearest = keyed.groupBy("met").agg(F.min(F.col("node").bitwiseXOR(pattern)).alias("_nearest"))
-    return staged(nearest.select("met", F.col("_nearest").bitwiseXOR(pattern).alias("pivot")), "pivots")
+    low = keyed.groupBy("met").agg(F.min("node").alias("low"))
+    labels = keyed.join(low, "met").groupBy("node").agg(F.min("low").alias("label"))
+    labels = staged(labels, "labels")
+    named = keyed.join(labels, "node").select("met", "label").distinct()
+    least = named.groupBy("met").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    edges = named.join(least.select("met", "low"), "met").where("label <> low").select(F.col("label").alias("a"), F.col("low").alias("b"))
+    roots = components(edges.distinct()).toDF("label", "root")
+    joined = labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("pivot"))
+    return staged(joined, "clusters")
 
 
-def _pivot_pairs(keyed: DataFrame, pivots: DataFrame, known: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b) of each key's pivot and its nodes of other groups, where sizes allow a link.
-
-    ``keyed`` holds (met, node) and ``known`` each node's size and root.
-    """
-    pairs = keyed.join(pivots.toDF("met", "a"), "met").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    pairs = pairs.join(known.toDF("a", "_size", "_root"), "a").join(known.toDF("b", "size", "root"), "b")
-    return pairs.where((F.col("_root") != F.col("root")) & _may_link(F.col("_size"), F.col("size"), least)).select("a", "b")
+def _measured(spokes: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """(pivot, node, linked, distance) of every node and its pivot, staged."""
 
+    def rows(batch):
+        for pivot, node, first, second in zip(*(batch[c] for c in ("pivot", "node", "_first", "_second"))):
+            both = len(np.intersect1d(np.frombuffer(first, "uint64"), np.frombuffer(second, "uint64"), assume_unique=True))
+            whole = len(first) // 8 + len(second) // 8 - both
+            yield pivot, node, 100 * both >= least * whole, 1 - both / whole
 
-def _undecided(keyed: DataFrame, known: DataFrame) -> DataFrame:
-    """The rows of keys whose nodes are in several groups, staged."""
-    rooted = keyed.join(known.select("node", "root"), "node")
-    apart = rooted.groupBy("met").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
-    return staged(keyed.join(apart.select("met"), "met", "left_semi"), "undecided")
+    met = spokes.join(sets.toDF("pivot", "_first"), "pivot").join(sets.toDF("node", "_second"), "node")
+    return staged(map_rows(met, "pivot long, node long, linked boolean, distance double", rows), "measured")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets are similar enough, staged."""
-
-    @F.pandas_udf("boolean")
-    def linked(first: pd.Series, second: pd.Series) -> pd.Series:
-        def one(a: bytes, b: bytes) -> bool:
-            both = len(np.intersect1d(np.frombuffer(a, "uint64"), np.frombuffer(b, "uint64"), assume_unique=True))
-            return 100 * both >= least * (len(a) // 8 + len(b) // 8 - both)
-
-        return pd.Series([one(a, b) for a, b in zip(first, second)], dtype="bool")
-
-    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("_a")), "a")
-    met = met.join(sets.select(F.col("node").alias("b"), F.col("own").alias("_b")), "b")
-    return staged(met.where(linked("_a", "_b")).select("a", "b"), "links")
+    found = _measured(pairs.toDF("pivot", "node"), sets, least).where("linked")
+    return found.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
 
 
 def _differences(spokes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -152,6 +157,10 @@ def _differences(spokes: DataFrame, sets: DataFrame) -> DataFrame:
     return staged(map_rows(met, "pivot long, node long, width int, tokens array<long>", rows, 64), "differences")
 
 
+def _may_link(a: Column, b: Column, least: int) -> Column:
+    return F.lit(100) * F.least(a, b) >= F.lit(least) * F.greatest(a, b)
+
+
 def _rest(differences: DataFrame, known: DataFrame, least: int) -> DataFrame:
     """Pairs (a, b) of nodes of different groups whose differences from one pivot share a token that a link needs.
 
@@ -197,22 +206,33 @@ def links(docs: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str = "t
     sets = map_rows(chosen, "fp binary, own binary", rows, 64).dropDuplicates(["fp"])
     sets = staged(sets.join(nodes.select("fp", "node"), "fp").select("node", "own"), "sets")
 
-    known, found = nodes.select("node", "size", F.col("node").alias("root")), None
-
-    def joined(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        own = _confirmed(pairs, sets, least)
-        whole = own if found is None else staged(found.unionByName(own), "links")
-        roots = components(whole).toDF("node", "_root")
-        rooted = known.join(roots, "node", "left").select("node", "size", F.coalesce("_root", "node").alias("root"))
-        return staged(rooted, "known"), whole
-
-    for k, lanes in enumerate(_LANES):
-        pivots = _pivots(met, lanes, k)
-        known, found = joined(_pivot_pairs(met, pivots, known, least))
-        met = _undecided(met, known)
-    spokes = met.join(pivots, "met").where("node <> pivot").select("pivot", "node").distinct()
-    rest = _rest(_differences(spokes, sets), known, least)
-    return found.unionByName(_confirmed(rest, sets, least))
+    spokes = []
+    for k in range(ROUNDS):
+        clusters = _clusters(met)
+        measured = _measured(clusters.where("node <> pivot").select("pivot", "node"), sets, least)
+        last = k + 1 == ROUNDS
+        spokes.append(measured if last else measured.where(F.col("distance") <= NEAR + 1 - least / 100 + 1e-9))
+        if last:
+            break
+        far = staged(measured.where(F.col("distance") > NEAR).select("node"), "far")
+        if far.isEmpty():
+            break
+        met = _several(met.join(far, "node", "left_semi").select("met", "node"))
+    near = spokes[0]
+    for part in spokes[1:]:
+        near = near.unionByName(part)
+    near = staged(near.select("pivot", "node", "linked"), "near")
+    first = near.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    roots = components(first).toDF("node", "_root")
+    known = nodes.select("node", "size").join(roots, "node", "left")
+    known = staged(known.select("node", "size", F.coalesce("_root", "node").alias("root")), "known")
+
+    # The nodes of one pivot, of which at least two are in different groups and not all are the pivot's.
+    rooted = near.join(known.select("node", "root"), "node")
+    apart = rooted.groupBy("pivot").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
+    open_spokes = near.join(apart.select("pivot"), "pivot", "left_semi").select("pivot", "node")
+    rest = _rest(_differences(open_spokes, sets), known, least)
+    return first.unionByName(_confirmed(rest, sets, least))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
