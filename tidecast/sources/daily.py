@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,10 @@ class NoData(LookupError):
     """A wanted day is not in the table."""
 
 
+class SeveralDeliveries(LookupError):
+    """A wanted day was delivered more than once."""
+
+
 def read(
     spark: SparkSession,
     path: str,
@@ -82,6 +87,64 @@ def read_day(
     return df
 
 
+@dataclass(frozen=True)
+class Drops:
+    """The rows of some files, and those that were rejected: file, reason and cells."""
+
+    rows: DataFrame
+    rejected: DataFrame
+
+
+def read_drops(
+    spark: SparkSession, paths: str | list[str], schema: str, multi_line: bool = True, most_columns: int = 64
+) -> Drops:
+    """CSV files whose headers may differ in names and order, in one query.
+
+    Every file's first row is its header and is joined to its rows by the file's name. A column that a file
+    lacks is NULL there; columns that ``schema`` lacks are dropped. A row is rejected, with
+    the reason, if it has more cells than its header or a value that its column's type can not
+    hold. Only ``multi_line`` files may have line breaks in a cell, and then one task reads one
+    file; others are split. A row that repeats its file's header counts as one.
+    """
+    wanted = StructType.fromDDL(schema)
+    cells = [f"c{k}" for k in range(most_columns)]
+    # Without a header of its own no row is taken for one by the reader.
+    raw = spark.read.schema(", ".join(f"{c} string" for c in cells)).options(
+        header=False, multiLine=multi_line, quote='"', escape='"', emptyValue="", nullValue="\\N",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    ).csv(paths)
+    named = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"), F.array(*cells).alias("cells"))
+    first = named.where("_start = 0").withColumn("_at", F.monotonically_increasing_id())
+    headers = first.groupBy("file").agg(F.min_by("cells", "_at").alias("header"))
+    headers = headers.select("file", "header", F.size(F.array_compact("header")).alias("_n"))
+    met = named.join(headers, "file").where(~F.col("cells").eqNullSafe(F.col("header")))
+
+    def value(name: str) -> Column:
+        at = F.array_position("header", name)
+        return F.when(at > 0, F.try_element_at("cells", F.greatest(at, F.lit(1)).cast("int")))
+
+    bad = [F.when(value(f.name).isNotNull() & value(f.name).try_cast(f.dataType).isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}")) for f in wanted]
+    beyond = F.size(F.array_compact(F.slice("cells", F.col("_n") + 1, F.lit(most_columns)))) > 0
+    reasons = F.array_compact(F.array(F.when(beyond, F.lit("more cells than the header")), *bad))
+    judged = met.withColumn("_reasons", reasons)
+    rows = judged.where(F.size("_reasons") == 0).select(*[value(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
+    rejected = judged.where(F.size("_reasons") > 0).select("file", F.array_join("_reasons", "; ").alias("reason"), F.array_compact("cells").alias("cells"))
+    return Drops(rows, rejected)
+
+
+def read_drop(spark: SparkSession, folder: str, schema: str, day: dt.date | None = None, multi_line: bool = True) -> Drops:
+    """The one file of a day in a folder of dated files, by default yesterday's: ``NoData`` if there is none, ``SeveralDeliveries`` if two."""
+    wanted = day or dt.date.today() - dt.timedelta(1)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*{wanted:%Y-%m-%d}*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    paths = sorted(s.getPath().toString() for s in found)
+    if not paths:
+        raise NoData(f"no data on {wanted} in {folder}")
+    if len(paths) > 1:
+        raise SeveralDeliveries(f"{len(paths)} deliveries on {wanted} in {folder}")
+    return read_drops(spark, paths, schema, multi_line)
+
+
 def resolve_day(
     df: DataFrame,
     keys: list[str],
