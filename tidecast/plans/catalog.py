@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidecast import fixtures as fx
-from tidecast.functions import reltime, scoring, text
+from tidecast.functions import markup, reltime, scoring, text
 from tidecast.operators import (
     asof,
     calendar,
@@ -405,6 +405,13 @@ def page_article(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def page_markup(spark: SparkSession, d: str) -> DataFrame:
+    """``page_article`` from the tokens of each page, for pages that patterns break on."""
+    pages_ = fx.table(spark, d, "pages").select("page_id", markup.page_article("html").alias("page"))
+    return pages_.select("page_id", "page.headline", "page.article")
+
+
 @query
 def relative_time(spark: SparkSession, d: str) -> DataFrame:
     resolved = reltime.resolve(F.col("scraped_at"), F.col("said"))

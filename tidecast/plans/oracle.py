@@ -732,7 +732,12 @@ BODIES = {
 }
 
 
+#: The named entities of the generated pages that ``page_article`` leaves as they are.
+_NAMED = "replace(replace({}, '&copy;', '\u00a9'), '&middot;', '\u00b7')"
+
+
 def statements() -> dict[str, str]:
     """Query name to a complete statement. Model fits have none."""
+    BODIES["page_markup"] = f"SELECT page_id, {_NAMED.format('headline')} AS headline, {_NAMED.format('article')} AS article FROM ({BODIES['page_article']})"
     same = {"insert_stored_days": "insert_if_absent", "upsert_stored_days": "upsert_by_date", "versioned_tables": "publish_tables"}
     return {name: with_views(body) for name, body in (BODIES | {n: BODIES[o] for n, o in same.items()}).items()}
