@@ -11,10 +11,11 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidecast.llm import queries, sharding
+from tidecast.llm import crf, quality, queries, sharding
 from tidecast.llm.common import staged
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -158,6 +159,29 @@ def test_op7_counts_are_exact_and_labels_are_followed(run, texts, sf_dir):
     assert sum(bool(q) == k for q, k in judged) >= 0.97 * len(judged)
 
 
+def test_op7_tells_lines_of_mixed_and_held_out_texts(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, table = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    odd = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
+    model = quality.train(docs.where(~odd), table.where(~odd))
+    held = docs.where(odd).join(table, "doc_id").select("doc_id", "text", "quality").orderBy("doc_id").collect()
+    lines = {q: [x for r in held if r["quality"] == q for x in r["text"].split("\n") if len(x.split()) >= 4] for q in (0, 1)}
+    judged = {r["doc_id"]: r for r in quality.judge(docs.where(odd), model).collect()}
+    clear = [(r["quality"], judged[r["doc_id"]]) for r in held if not judged[r["doc_id"]]["base_failed"]]
+    assert len(clear) > 30 and sum(q == j["kept"] for q, j in clear) >= 0.95 * len(clear)
+
+    rng, right, total, shares = random.Random(3), 0, 0, []
+    for k in range(60):
+        runs = (1, 2, 5)[k % 3]
+        marks = [(i // runs) % 2 for i in range(20)]
+        own = [rng.choice(lines[m]) for m in marks]
+        found, sizes, _ = quality.lines_of("\n".join(own).encode())
+        labels = crf.viterbi(found @ model.weights, np.array([len(found)]), model.moves)
+        right, total = right + int((labels == np.array(marks)).sum()), total + len(marks)
+        shares.append(float((sizes * labels).sum() / sizes.sum()))
+    assert right >= 0.9 * total and all(0 < x < 1 for x in shares)
+
+
 def test_op8_matches_all_pairs(run, texts):
     prints = {}
     for key, text in texts.items():

@@ -93,6 +93,27 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(twice) > 0).sum())
 
 
+def spliced(good: list[np.ndarray], bad: list[np.ndarray], seed: int = 42) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sequences of lines that take turns between a good and a bad text, in runs of one to four lines, and their labels.
+
+    Every text is in one at least; the shorter list is gone through again.
+    """
+    if not good or not bad:
+        return []
+    rng, found = np.random.default_rng(seed), []
+    for k in range(max(len(good), len(bad))):
+        own = [bad[k % len(bad)], good[k % len(good)]]
+        at, turn, parts, labels = [0, 0], int(rng.integers(2)), [], []
+        while at[0] < len(own[0]) or at[1] < len(own[1]):
+            part = own[turn][at[turn] : at[turn] + int(rng.integers(1, 5))]
+            at[turn] += len(part)
+            parts.append(part)
+            labels.append(np.full(len(part), turn))
+            turn = 1 - turn
+        found.append((np.concatenate(parts), np.concatenate(labels)))
+    return found
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -107,7 +128,9 @@ def train(
     The sample is the ``sample`` labelled keys of smallest hash, without texts over
     ``longest`` characters; only this list of keys is broadcast.
 
-    The lines of a good text (label 1) are content, those of a bad one boilerplate. A key
+    The lines of a good text (label 1) are content, those of a bad one boilerplate. As such
+    texts never change their label within, every good and bad one are also spliced to texts that
+    do (``spliced``), or the chain would learn that labels never change. A key
     with two labels counts as good if any is; rows without a label are not learned from.
     """
     marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
@@ -120,9 +143,11 @@ def train(
     lines = [x for x in lines if len(x[0])]
     if not lines:
         return None
+    lines = [(x, np.full(len(x), y)) for x, y in lines]
+    lines += spliced([x for x, y in lines if y[0]], [x for x, y in lines if not y[0]])
     items = np.concatenate([x for x, _ in lines])
     lengths = np.array([len(x) for x, _ in lines])
-    marked = np.repeat([y for _, y in lines], lengths)
+    marked = np.concatenate([y for _, y in lines]).astype("int64")
     weights, moves = crf.fit(lambda w: items @ w, lambda g: items.T @ g, (N_FEATURES, 2), marked, lengths, rounds=150)
     return Model(weights, moves)
 
