@@ -309,6 +309,24 @@ def test_urls_of_every_shape(spark):
     assert {r["verdict"] for r in urls.judge(pages, [], []).collect()} == {"allow"}
 
 
+def test_trees_judge_hosts_that_they_never_saw(spark):
+    rng = random.Random(21)
+    word = lambda n: "".join(rng.choices("etaoinshrdlu", k=n))
+    rows = []
+    for host in range(240):
+        bad = host % 2
+        name = f"{word(4)}-{word(3)}{rng.randint(100, 9999)}.{rng.choice(['top', 'biz', 'com'])}" if bad else f"{word(8)}.{rng.choice(['com', 'org', 'edu'])}"
+        for _ in range(6):
+            tail = f"/{word(3)}{rng.randint(0, 99999)}?id={rng.randint(0, 9**9)}&ref={word(3)}&s={rng.randint(0, 9)}" if bad else f"/{word(6)}/{word(7)}"
+            rows.append((len(rows), f"http://{name}{tail}", None if host >= 160 else bad, bad))
+    # One URL that fills most of the table teaches no more than any other.
+    rows += [(len(rows) + k, "http://copied.com/page", 0, 0) for k in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, label int, truth int").repartition(4)
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(pages, [], [], sample=600, label="label").collect()}
+    held = [(got[k], bad) for k, _, label, bad in rows if label is None]
+    assert len(held) == 480 and sum((v == "block") == bool(bad) for v, bad in held) >= 0.95 * len(held)
+
+
 def test_phrases_of_different_documents_are_no_repeated_passage(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9)))

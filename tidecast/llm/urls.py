@@ -85,10 +85,11 @@ def judge(
 ) -> DataFrame:
     """Per row: key, host, path, rule, verdict (allow or block) and ``block_score``.
 
-    A rule decides where one fits; elsewhere the trees do. They learn from at most ``sample``
-    labelled URLs, those of smallest hash: the ones with a rule, or the rows where ``label`` is
-    not null (1: block). Suffix statistics come from the same sample, so what is broadcast is
-    bounded by it. Without labels of both kinds all other URLs are allowed. Null and
+    A rule decides where one fits; elsewhere the trees do. They learn from labelled URLs: the ones
+    with a rule, or the rows where ``label`` is not null (1: block; a URL with several labels has
+    that of most of its rows). At most ``sample`` distinct URLs, half of either label, of smallest
+    hash are learned from; suffix statistics are counted over all labelled rows. Without labels
+    of both kinds all other URLs are allowed. Null and
     malformed URLs have an empty host and path and go to the trees. Repeated rows are
     returned each; other columns are ignored.
     """
@@ -105,17 +106,21 @@ def judge(
     featured = lexical(rows, "_url", "_host", "_path")
 
     labelled = featured.where(F.col("_label").isNotNull()).select("_label", "_suffix", *FEATURES[:-2], "_url")
-    learned = labelled.orderBy(F.xxhash64("_url"), "_url").limit(sample).drop("_url")
-    learned = staged(learned.repartition(8), "urls")
-    overall, kinds = learned.agg(F.avg("_label"), F.count_distinct("_label")).first()
-    rates = learned.groupBy("_suffix").agg(F.sum("_label").alias("_bad"), F.count(F.lit(1)).alias("_seen"))
+    rates = labelled.groupBy("_suffix").agg(F.sum("_label").alias("_bad"), F.count(F.lit(1)).alias("_seen"))
+    rates = staged(rates, "suffixes")
+    overall = rates.agg(F.sum("_bad") / F.sum("_seen")).first()[0]
+    # Only URLs and their labels are grouped; features are computed again for those that are drawn.
+    each = rows.where(F.col("_label").isNotNull()).groupBy("_url").agg((F.avg("_label") >= 0.5).cast("double").alias("_label"))
+    each = each.where(F.col("_url").isNotNull())
+    drawn = [each.where(F.col("_label") == k).orderBy(F.xxhash64("_url"), "_url").limit(max(1, sample // 2)) for k in (0.0, 1.0)]
+    drawn = drawn[0].unionByName(drawn[1]).withColumns({"_host": host_of(F.col("_url")), "_path": path_of(F.col("_url"))})
+    learned = staged(lexical(drawn, "_url", "_host", "_path").repartition(8).select("_label", "_suffix", *FEATURES[:-2]), "urls")
+    kinds = learned.agg(F.count_distinct("_label")).first()[0]
 
     def with_suffix(df: DataFrame) -> DataFrame:
         seen = F.coalesce("_seen", F.lit(0))
         rate = (F.coalesce("_bad", F.lit(0.0)) + F.lit(10.0 * (overall or 0.0))) / (seen + 10)
-        return df.join(F.broadcast(rates), "_suffix", "left").withColumns(
-            {"suffix_rate": rate, "suffix_weight": F.log1p(seen.cast("double"))}
-        )
+        return df.join(rates, "_suffix", "left").withColumns({"suffix_rate": rate, "suffix_weight": F.log1p(seen.cast("double"))})
 
     if kinds == 2:
         steps = [
