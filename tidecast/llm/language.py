@@ -166,15 +166,17 @@ def identify(
     text: str = "text",
     keep: dict[str, Column] | None = None,
     keep_text: str | None = None,
-    block_words: int = 400_000,
+    block_words: int = 150_000,
+    cache_words: int = 200_000,
 ) -> DataFrame:
     """Per row: key, lang_pred, score, certainty, and ``runs``, the stretches of words of one language in order.
 
     The language with most of the words' probability is predicted; ``score`` is its mean over
     the words, ``certainty`` the mean of each word's best probability, whatever its language. A null text, one without a letter, and any text without a model is ``und``
     with score and certainty 0. Repeated rows are returned each; other columns are ignored unless named in
-    ``keep``, and the text is returned as ``keep_text`` if that is named. A worker holds ``block_words`` words or one text at a time, and forgets its
-    cached words when they are more than that.
+    ``keep``, and the text is returned as ``keep_text`` if that is named. A worker holds ``block_words``
+    words or one text at a time, and forgets its cached words when they are more than
+    ``cache_words``. Neither changes a result.
     """
     extra = keep or {}
     kept = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), *[c.alias(f"_keep_{n}") for n, c in extra.items()])
@@ -229,7 +231,7 @@ def identify(
                     if held >= block_words:
                         yield from labelled(block)
                         block, held = [], 0
-                        if len(cache) > block_words // 2:
+                        if len(cache) > cache_words:
                             cache = _Scores(model)
             if block:
                 yield from labelled(block)
