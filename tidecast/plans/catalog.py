@@ -593,16 +593,16 @@ def prediction_record(spark: SparkSession, d: str) -> DataFrame:
     judged = folds.holdout(rows, KEY, 14).where(F.col("is_price_up").isNotNull())
     judged = judged.select(*KEY, "date", day, "role", "p", F.col("is_price_up").alias("actual"))
 
-    def metric(role: str, mean: str, deviation: str) -> DataFrame:
-        part = judged.where(F.col("role") == role)
-        scored = evaluate.windowed_accuracy(part, KEY, "day")
-        return _rounded(scored, "mean_acc", "std_acc").withColumnsRenamed(
-            {"mean_acc": mean, "std_acc": deviation}
-        )
-
-    metrics = metric("train", "eval_acc", "eval_acc_7days_std").join(
-        metric("test", "holdout_eval_acc", "holdout_eval_acc_7days_std"), KEY, "full"
-    )
+    scored = _rounded(evaluate.windowed_accuracy(judged, [*KEY, "role"], "day"), "mean_acc", "std_acc")
+
+    def of(role: str, prefix: str) -> list[Column]:
+        own = F.col("role") == role
+        return [
+            F.max(F.when(own, F.col("mean_acc"))).alias(f"{prefix}eval_acc"),
+            F.max(F.when(own, F.col("std_acc"))).alias(f"{prefix}eval_acc_7days_std"),
+        ]
+
+    metrics = scored.groupBy(*KEY).agg(*of("train", ""), *of("test", "holdout_"))
     published = ledger.record(series.latest(rows, KEY), metrics, KEY, ["trends", "twitter_score"])
     return published.withColumn("selected_features", F.array_join("selected_features", ","))
 

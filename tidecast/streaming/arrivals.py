@@ -108,7 +108,9 @@ def daily_counts(df: DataFrame, keys: list[str], row_id: str, path: str, checkpo
         _store_new(batch, f"{run}-{n}", row_id, f"{path}/rows")
         schema = StructType(batch.schema.fields).add("date", DateType()).add("batch", StringType())
         days = batch.select(F.to_date("ts").alias("date")).distinct()
-        stored = spark.read.schema(schema).parquet(f"{path}/rows")
+        first, last = days.agg(F.min("date"), F.max("date")).first()
+        # The range prunes partitions; the semi-join takes the days between that no row is of.
+        stored = spark.read.schema(schema).parquet(f"{path}/rows").where(F.col("date").between(first, last))
         counted = stored.join(days, "date", "left_semi").groupBy("date", *keys).agg(F.count("*").alias("n"))
         (
             counted.write.mode("overwrite")
