@@ -28,6 +28,7 @@ from tidecast.operators import (
     ledger,
     model,
     network,
+    pieces,
     sentiment,
     series,
     skew,
@@ -450,6 +451,15 @@ def encode_fixed_length(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def encode_subwords(spark: SparkSession, d: str) -> DataFrame:
+    """``encode_fixed_length`` with words outside the vocabulary cut to known pieces."""
+    rows = fx.words(fx.articles(spark, d))
+    encoded = pieces.encode_pieces(rows, "doc_id", pieces.build_pieces(rows, 2000))
+    used = F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x)
+    return encoded.select("doc_id", F.array_join("input_ids", " ").alias("input_ids"), used.alias("n_tokens"))
+
+
 # Folds and evaluation -----------------------------------------------------------
 
 
