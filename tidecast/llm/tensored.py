@@ -217,7 +217,9 @@ def links(docs: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str = "t
         far = staged(measured.where(F.col("distance") > NEAR).select("node"), "far")
         if far.isEmpty():
             break
-        met = _several(met.join(far, "node", "left_semi").select("met", "node"))
+        # The first collection alone connects all that a table would, with a row for each hash and not each key.
+        again = nodes.join(far, "node", "left_semi").select("node", F.posexplode("first").alias("at", "hash"))
+        met = _several(again.select(F.xxhash64("at", "hash").alias("met"), "node"))
     near = spokes[0]
     for part in spokes[1:]:
         near = near.unionByName(part)
