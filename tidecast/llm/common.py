@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import contextlib
 import itertools
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,7 +103,7 @@ class WordIds(dict):
     depend on the bound.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 200_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -228,15 +227,18 @@ def units(text: str, keeps_space: bool) -> list[str]:
 _WORD_IDS: dict[str, WordIds] = {}
 
 
-@contextlib.contextmanager
-def word_ids(path: str) -> Iterator[WordIds]:
-    """The tokenizer of this worker process; its units are forgotten when the task is done with them."""
+def word_ids(path: str) -> WordIds:
+    """The tokenizer of this worker process. It keeps its units for the stage's next task, and until ``forget_words``."""
     if path not in _WORD_IDS:
         _WORD_IDS[path] = WordIds(path)
-    try:
-        yield _WORD_IDS[path]
-    finally:
-        _WORD_IDS[path].forget()
+    return _WORD_IDS[path]
+
+
+def forget_words() -> None:
+    """Drop the units of all tokenizers; what works on other things in a reused worker calls this first."""
+    for tokenizer in _WORD_IDS.values():
+        if tokenizer or tokenizer.old:
+            tokenizer.forget()
 
 
 def release() -> None:
@@ -281,6 +283,7 @@ def map_rows(
     types = arrow_types(schema)
 
     def run(batches):
+        forget_words()
         try:
             yield from record_batches(types, (r for columns in columns_of(batches) for r in rows(columns)), size)
         finally:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm import crf
-from tidecast.llm.common import arrow_types, columns_of, record_batches, release
+from tidecast.llm.common import arrow_types, columns_of, forget_words, record_batches, release
 
 FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
@@ -190,6 +190,7 @@ def identify(
     types = arrow_types(schema)
 
     def run(batches):
+        forget_words()
         cache = _Scores(model) if model else None
         moves = model.moves.astype("float32") if model else None
 

@@ -54,8 +54,7 @@ def pieces(
                         row = (doc, piece, at // 4, len(own) // 4, zlib.crc32(own))
                         yield (*row, own) if with_ids else row
 
-        with word_ids(tokenizer) as encoder:
-            yield from record_batches(types, rows(encoder))
+        yield from record_batches(types, rows(word_ids(tokenizer)))
 
     return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(cut, schema)
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidecast.llm.common import release, staged
+from tidecast.llm.common import forget_words, release, staged
 
 WINDOW = 16
 #: One white space in so many ends a chunk.
@@ -152,6 +152,7 @@ def dedup(
     def pairs(batches):
         import pyarrow as pa
 
+        forget_words()
         try:
             for batch in batches:
                 ranks = batch.column(0).to_pylist()

@@ -132,8 +132,7 @@ def write(
             if keys:
                 yield closed()
 
-        with word_ids(tokenizer) as encoder:
-            yield from record_batches(types, every(encoder), 32)
+        yield from record_batches(types, every(word_ids(tokenizer)), 32)
 
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("_key", "_text")
     ordered.mapInArrow(segments, schema).write.parquet(f"{path}/segments")
