@@ -325,6 +325,13 @@ def enrich_place(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("tweet_id", "geo_id", "country_code", "country", "full_name")
 
 
+@query
+def enrich_posts(spark: SparkSession, d: str) -> DataFrame:
+    """All lookups of a post at once, with the constant columns of the post table."""
+    rows = social.enrich(*pages.flatten(_stored_pages(spark, d)))
+    return rows.select("tweet_id", "username_source", "username_target", "country_code", "country", "full_name", "media", "headline")
+
+
 def _search(spark: SparkSession, d: str) -> DataFrame:
     return social.search(
         fx.articles(spark, d), "the", ["whst", "heention"], "en", "2024-01-03", "2024-01-26"

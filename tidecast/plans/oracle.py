@@ -517,6 +517,13 @@ BODIES = {
         FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0
                   THEN CAST(o_orderkey % 25 AS VARCHAR) END AS geo FROM orders)
         LEFT JOIN fx_api_places ON id = geo""",
+    "enrich_posts": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS tweet_id, a.username AS username_source, r.username AS username_target,
+               country_code, country, full_name, 'twitter' AS media, CAST(NULL AS VARCHAR) AS headline
+        FROM orders
+        LEFT JOIN fx_api_users AS a ON a.id = CAST(o_custkey AS VARCHAR)
+        LEFT JOIN fx_api_users AS r ON o_orderkey % 2 = 0 AND r.id = CAST((o_orderkey * 7) % 1500 AS VARCHAR)
+        LEFT JOIN fx_api_places AS p ON o_orderkey % 3 = 0 AND p.id = CAST(o_orderkey % 25 AS VARCHAR)""",
     "keyword_search": f"SELECT doc_id, ts, media {_SEARCH}",
     "capped_scan": f"SELECT doc_id, ts {_SEARCH} ORDER BY ts, doc_id LIMIT 100",
     "dedup_rows": f"""
