@@ -6,12 +6,11 @@ pair at 0.8 shares no band once in 1.6 million times, and more similar ones less
 pair that shares a band is compared by its whole shingle sets unless it is linked already or its
 sizes rule it out; nothing is capped.
 
-Texts of equal sets are one node. In a band first all are compared with one of them, which links
-the groups of near copies without their pairs; then those that are still apart with each other.
+Texts of equal sets are one node. No pairs of a bucket are formed: nodes that buckets connect are compared
+with one pivot, and what is left apart by its differences from it (``tensored.connected``).
 """
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +18,8 @@ from tidecast.llm.common import ascii_lower, components, map_rows, staged
 from tidecast.llm.simhash import one_of_each
 
 WORDS = 5
-LEAST = 0.8
+#: Percent of the shingles of two texts that they share.
+LEAST = 80
 ROWS = 5
 BANDS = 36
 _FACTORS = np.random.default_rng(42).integers(0, 1 << 63, (BANDS * ROWS, 1), "uint64") << np.uint64(1) | np.uint64(1)
@@ -76,24 +76,10 @@ def prints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return staged(map_rows(narrow, f"`{key}` {kind}, fp long, size long, bands array<long>", rows, 512), "prints")
 
 
-def _near(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose sets have at least the similarity ``least``, staged."""
-
-    @F.pandas_udf("double")
-    def similarity(first: pd.Series, second: pd.Series) -> pd.Series:
-        def one(a: bytes, b: bytes) -> float:
-            both = len(np.intersect1d(np.frombuffer(a, "uint64"), np.frombuffer(b, "uint64"), assume_unique=True))
-            return both / (len(a) // 8 + len(b) // 8 - both)
-
-        return pd.Series([one(a, b) for a, b in zip(first, second)], dtype="float64")
-
-    met = pairs.join(sets.select(F.col("fp").alias("a"), F.col("own").alias("_a")), "a")
-    met = met.join(sets.select(F.col("fp").alias("b"), F.col("own").alias("_b")), "b")
-    return staged(met.where(similarity("_a", "_b") >= least).select("a", "b"), "near")
-
-
-def classes(docs: DataFrame, prints: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
+def classes(docs: DataFrame, prints: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """Per distinct shingle set: fp and ``root``, the smallest fp that links of similar sets reach, staged."""
+    from tidecast.llm import tensored  # which takes its shingles from here
+
     nodes = staged(prints.groupBy("fp").agg(F.min(key).alias("_first"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
     entries = nodes.select("fp", "size", F.posexplode("bands").alias("band", "bucket"))
     of_bucket = entries.groupBy("band", "bucket").agg(F.min("fp").alias("_least"), F.max("fp").alias("_most"))
@@ -110,24 +96,13 @@ def classes(docs: DataFrame, prints: DataFrame, key: str = "doc_id", text: str =
             yield print_of(own), own.tobytes()
 
     sets = staged(map_rows(chosen, "fp long, own binary", rows, 64).dropDuplicates(["fp"]), "sets")
-    fits = F.least("size", "_size") >= least * F.greatest("size", "_size")
-    sizes = nodes.select(F.col("fp").alias("_least"), F.col("size").alias("_size"))
-    first = entries.where("fp <> _least").select("fp", "size", "_least").distinct().join(sizes, "_least").where(fits)
-    first = _near(first.select(F.col("_least").alias("a"), F.col("fp").alias("b")), sets, least)
-
-    roots = components(first).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    rooted = entries.select("fp", "size", "band", "bucket").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = staged(rooted, "rooted")
-    apart = rooted.groupBy("band", "bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
-    rooted = rooted.join(apart.where("_low < _high").select("band", "bucket"), ["band", "bucket"])
-    other = rooted.select("band", "bucket", F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("size").alias("_size"))
-    second = rooted.alias("x").join(
-        other.alias("y"),
-        (F.col("x.band") == F.col("y.band")) & (F.col("x.bucket") == F.col("y.bucket")) & (F.col("root") < F.col("_root")) & fits,
-    )
-    second = second.select(F.col("fp").alias("a"), F.col("_fp").alias("b")).distinct()
-    second = _near(second, sets, least)
-    roots = components(first.unionByName(second))
+    keyed = entries.select(F.xxhash64("band", "bucket").alias("met"), F.col("fp").alias("node"))
+
+    def again(far: DataFrame) -> DataFrame:
+        return keyed.join(far, "node", "left_semi").select("met", "node")
+
+    found = tensored.connected(keyed, again, nodes.select(F.col("fp").alias("node"), "size"), sets.withColumnRenamed("fp", "node"), least)
+    roots = components(found)
     found = nodes.join(roots, nodes["fp"] == roots["a"], "left").select("fp", F.coalesce("b", "fp").alias("root"))
     return staged(found, "classes")
 

@@ -29,6 +29,8 @@ most c (|a| + |b|). Here d = |A| + |B| for the differences A and B, and |b| <= |
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -190,22 +192,14 @@ def _rest(differences: DataFrame, known: DataFrame, least: int) -> DataFrame:
     return met.where(_may_link(F.col("_size"), F.col("size"), least)).select("a", "b").distinct()
 
 
-def links(docs: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
-    """Pairs (a, b) of nodes that connect all nodes whose sets are linked."""
-    met = tables(nodes)
-    wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select(F.col("key").alias("_wanted")).distinct()
-    narrow = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    chosen = narrow.join(wanted, F.col("_key").eqNullSafe(F.col("_wanted")), "left_semi").select("_text")
-
-    def rows(batch):
-        for whole in batch["_text"]:
-            own = shingles(whole, WORDS)
-            if len(own):
-                yield digest(own), own.tobytes()
-
-    sets = map_rows(chosen, "fp binary, own binary", rows, 64).dropDuplicates(["fp"])
-    sets = staged(sets.join(nodes.select("fp", "node"), "fp").select("node", "own"), "sets")
+def connected(
+    met: DataFrame, again: Callable[[DataFrame], DataFrame], sizes: DataFrame, sets: DataFrame, least: int
+) -> DataFrame:
+    """Pairs (a, b) that connect all linked nodes of which some key ``met`` is common.
 
+    ``met`` holds (met, node), ``again`` gives keys for the far nodes alone, ``sizes`` (node, size) and
+    ``sets`` (node, own) the shingles of every node in ``met``.
+    """
     spokes = []
     for k in range(ROUNDS):
         clusters = _clusters(met)
@@ -217,16 +211,14 @@ def links(docs: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str = "t
         far = staged(measured.where(F.col("distance") > NEAR).select("node"), "far")
         if far.isEmpty():
             break
-        # The first collection alone connects all that a table would, with a row for each hash and not each key.
-        again = nodes.join(far, "node", "left_semi").select("node", F.posexplode("first").alias("at", "hash"))
-        met = _several(again.select(F.xxhash64("at", "hash").alias("met"), "node"))
+        met = _several(again(far))
     near = spokes[0]
     for part in spokes[1:]:
         near = near.unionByName(part)
     near = staged(near.select("pivot", "node", "linked"), "near")
     first = near.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     roots = components(first).toDF("node", "_root")
-    known = nodes.select("node", "size").join(roots, "node", "left")
+    known = sizes.join(roots, "node", "left")
     known = staged(known.select("node", "size", F.coalesce("_root", "node").alias("root")), "known")
 
     # The nodes of one pivot, of which at least two are in different groups and not all are the pivot's.
@@ -237,6 +229,30 @@ def links(docs: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str = "t
     return first.unionByName(_confirmed(rest, sets, least))
 
 
+def links(docs: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
+    """Pairs (a, b) of nodes that connect all nodes whose sets are linked."""
+    met = tables(nodes)
+    wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select(F.col("key").alias("_wanted")).distinct()
+    narrow = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    chosen = narrow.join(wanted, F.col("_key").eqNullSafe(F.col("_wanted")), "left_semi").select("_text")
+
+    def rows(batch):
+        for whole in batch["_text"]:
+            own = shingles(whole, WORDS)
+            if len(own):
+                yield digest(own), own.tobytes()
+
+    sets = map_rows(chosen, "fp binary, own binary", rows, 64).dropDuplicates(["fp"])
+    sets = staged(sets.join(nodes.select("fp", "node"), "fp").select("node", "own"), "sets")
+
+    def again(far: DataFrame) -> DataFrame:
+        # The first collection alone connects all that a table would, with a row for each hash and not each key.
+        own = nodes.join(far, "node", "left_semi").select("node", F.posexplode("first").alias("at", "hash"))
+        return own.select(F.xxhash64("at", "hash").alias("met"), "node")
+
+    return connected(met, again, nodes.select("node", "size"), sets, least)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """Every row with key, n_shingles, component_id (the smallest key that links reach) and kept (key is component_id).
 
