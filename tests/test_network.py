@@ -1,6 +1,7 @@
 """The text network: gradients, learning, resuming and odd texts."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -77,3 +78,13 @@ def test_odd_texts_and_labels(spark):
     blank = Shape(classes=2, buckets=16, width=2, hidden=2, steps=2)
     assert np.array_equal(network.fit(df.limit(0), blank).weights, blank.start())
     assert network.classify(found, df.limit(0)).collect() == []
+
+
+def test_words_may_be_split_before_and_texts_left_behind(pairs):
+    fitted = network.fit(pairs, SMALL, until=2)
+    split = pairs.withColumn("words", F.split("content", " ")).drop("content")
+    assert np.array_equal(network.fit(split, SMALL, until=2, text_col="words").weights, fitted.weights)
+    whole = {r["id"]: r["probabilities"] for r in network.classify(fitted, pairs).collect()}
+    narrow = network.classify(fitted, split, text_col="words", keep=["id"])
+    assert narrow.columns == ["id", "prediction", "probabilities"]
+    assert {r["id"]: r["probabilities"] for r in narrow.collect()} == whole

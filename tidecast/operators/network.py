@@ -13,7 +13,7 @@ goes on from the last complete step and ends with the same network.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -28,6 +28,8 @@ _UNIT = 1 << 32
 _BLOCK = 4096
 #: Decay of the mean and the square of the gradient, and what keeps the quotient finite.
 _FIRST, _SECOND, _LEAST = 0.9, 0.999, 1e-8
+#: Cells of a table of word counts that is held at once.
+_CELLS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -70,16 +72,18 @@ class Network:
     def hidden(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The mean embedding and the hidden layer of texts whose words end at ``ends``; no word gives zeros."""
         table, first, shift, *_ = self.shape.parts(self.weights)
-        sums = np.zeros((len(ends), self.shape.width))
-        counts = np.diff(ends, prepend=0)
-        np.add.at(sums, np.repeat(np.arange(len(ends)), counts), table[ids])
-        mean = sums / np.maximum(counts, 1)[:, None]
+        mean = np.zeros((len(ends), self.shape.width))
+        for rows, seen, shares in _shares(ids, ends, self.shape.buckets):
+            mean[rows] = shares @ table[seen]
         return mean, np.tanh(mean @ first + shift)
 
     def chances(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The probability of every class of every text."""
+        return self._chances(self.hidden(ids, ends)[1])
+
+    def _chances(self, hidden: np.ndarray) -> np.ndarray:
         *_, last, shift = self.shape.parts(self.weights)
-        scores = self.hidden(ids, ends)[1] @ last + shift
+        scores = hidden @ last + shift
         scores = np.exp(scores - scores.max(axis=1, keepdims=True))
         return scores / scores.sum(axis=1, keepdims=True)
 
@@ -89,22 +93,45 @@ class Network:
         found = np.zeros(len(self.weights))
         table, d_first, d_shift, d_last, d_out = self.shape.parts(found)
         mean, hidden = self.hidden(ids, ends)
-        wrong = self.chances(ids, ends)
+        wrong = self._chances(hidden)
         wrong[np.arange(len(labels)), labels] -= 1
         d_last += hidden.T @ wrong
         d_out += wrong.sum(axis=0)
         back = (wrong @ last.T) * (1 - hidden**2)
         d_first += mean.T @ back
         d_shift += back.sum(axis=0)
-        counts = np.diff(ends, prepend=0)
-        share = (back @ first.T) / np.maximum(counts, 1)[:, None]
-        np.add.at(table, ids, np.repeat(share, counts, axis=0))
+        below = back @ first.T
+        for rows, seen, shares in _shares(ids, ends, self.shape.buckets):
+            table[seen] += shares.T @ below[rows]
         return found
 
 
+def _shares(ids: np.ndarray, ends: np.ndarray, buckets: int) -> Iterator[tuple[slice, np.ndarray | slice, np.ndarray]]:
+    """Blocks of rows, the buckets of their words, and each bucket's share of a row's words; ``_CELLS`` bounds a block of several rows."""
+    ends = np.asarray(ends)
+    at = 0
+    while at < len(ends):
+        start = ends[at - 1] if at else 0
+        # Distinct words are at most the buckets, and at most the words so far.
+        cells = np.minimum(ends[at : at + _CELLS // 64] - start, buckets) * np.arange(1, len(ends[at : at + _CELLS // 64]) + 1)
+        to = at + max(1, int(np.searchsorted(cells, _CELLS, "right")))
+        own, counts = ids[start : ends[to - 1]], np.diff(ends[at:to], prepend=start)
+        seen, width = slice(None), buckets
+        if len(own) < buckets:
+            seen, own = np.unique(own, return_inverse=True)
+            width = len(seen)
+        cell = np.repeat(np.arange(to - at) * width, counts) + own
+        found = np.bincount(cell, minlength=(to - at) * width).reshape(to - at, width)
+        yield slice(at, to), seen, found / np.maximum(counts, 1)[:, None]
+        at = to
+
+
 def _words(df: DataFrame, shape: Shape, text_col: str, pair_col: str | None) -> DataFrame:
-    """``df`` with ``ids``, the buckets of its words; with a pair text, each word counts for that pair alone."""
-    words = text.tokens(F.lower(F.coalesce(F.col(text_col), F.lit(""))))
+    """``df`` with ``ids``, the buckets of its words; with a pair text, each word counts for that pair alone.
+
+    ``text_col`` is a text or an array of its lower-case words.
+    """
+    words = text.words(df, text_col)
     pair = F.lit("") if pair_col is None else F.coalesce(F.col(pair_col), F.lit(""))
     return df.withColumn("ids", F.transform(words, lambda w: F.pmod(F.xxhash64(pair, w), F.lit(shape.buckets)).cast("int")))
 
@@ -226,12 +253,20 @@ def load_scorer(network: Network, batch_size: int = 32) -> Callable:
 
 
 def classify(
-    network: Network, df: DataFrame, text_col: str = "content", pair_col: str | None = None, batch_size: int = 32
+    network: Network,
+    df: DataFrame,
+    text_col: str = "content",
+    pair_col: str | None = None,
+    batch_size: int = 32,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``df`` with ``prediction`` (class index, the first of equals) and ``probabilities``. A text without words has the bias alone."""
-    target = df.select(*df.columns, F.lit(0).alias("prediction"), F.array(F.lit(0.0)).alias("probabilities"))
+    """``df`` with ``prediction`` (class index, the first of equals) and ``probabilities``. A text without words has the bias alone.
+
+    ``keep`` names the columns to return, by default all; a text that is not kept does not travel to the workers.
+    """
+    names = df.columns if keep is None else list(keep)
+    target = df.select(*names, F.lit(0).alias("prediction"), F.array(F.lit(0.0)).alias("probabilities"))
     arrow, score = _arrow_schema(target), load_scorer(network, batch_size)
-    names = df.columns
 
     def run(batches):
         import pyarrow as pa
