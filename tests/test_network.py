@@ -80,6 +80,23 @@ def test_odd_texts_and_labels(spark):
     assert network.classify(found, df.limit(0)).collect() == []
 
 
+def test_gradient_of_many_words_takes_little_memory():
+    shape = Shape(classes=2, buckets=4096)
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(0, 1000, 3000)
+    ids, ends = rng.integers(0, shape.buckets, lengths.sum()).astype("int32"), np.cumsum(lengths)
+    labels = rng.integers(0, 2, len(ends))
+    found = Network(shape, shape.start())
+    tracemalloc.start()
+    slopes = found.slopes(ids, ends, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    # The same in pieces of a few rows, and in buckets that most blocks do not fill.
+    parts = [found.slopes(ids[a and ends[a - 1] : ends[min(a + 7, 3000) - 1]], ends[a : a + 7] - (a and ends[a - 1]), labels[a : a + 7]) for a in range(0, 3000, 7)]
+    assert np.allclose(slopes, sum(parts), rtol=0, atol=1e-9)
+
+
 def test_words_may_be_split_before_and_texts_left_behind(pairs):
     fitted = network.fit(pairs, SMALL, until=2)
     split = pairs.withColumn("words", F.split("content", " ")).drop("content")
