@@ -105,3 +105,16 @@ def test_words_may_be_split_before_and_texts_left_behind(pairs):
     narrow = network.classify(fitted, split, text_col="words", keep=["id"])
     assert narrow.columns == ["id", "prediction", "probabilities"]
     assert {r["id"]: r["probabilities"] for r in narrow.collect()} == whole
+
+
+def test_linear_model_reads_its_texts_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(text):
+        seen.add(1)
+        return text
+
+    df = spark.createDataFrame([(f"w{k % 5} w{k % 3}", float(k % 2)) for k in range(40)], "content string, label double")
+    model.fit_text(df.select(read("content").alias("content"), "label"))
+    assert seen.value == 40
