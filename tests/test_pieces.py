@@ -1,5 +1,8 @@
 """Pieces against a plain search, and back to words."""
 
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,3 +63,15 @@ def test_a_query_encodes_every_text_without_unknown_ids(spark, sf_dir):
     rows = catalog.QUERIES["encode_subwords"](spark, sf_dir)
     assert rows.count() == rows.select("doc_id").distinct().count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert rows.where(F.array_contains(F.split("input_ids", " "), "1")).count() == 0
+
+
+def test_a_large_batch_is_encoded_a_few_texts_at_a_time():
+    words = [[f"{'cat' * (k % 3)}{k % 7}" for k in range(400)] for _ in range(4000)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(4000)), "_first": words, "_second": pa.array([None] * 4000, pa.list_(pa.string()))})
+    types = pa.schema([("id", pa.int64()), ("input_ids", pa.list_(pa.int64())), ("attention_mask", pa.list_(pa.int64()))])
+    run = pieces._encoder({c: k + 3 for k, c in enumerate("cat0123456")}, types, 512, False)
+    tracemalloc.start()
+    rows = sum(part.num_rows for part in run([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 4000 and peak < 32 << 20

@@ -8,6 +8,8 @@ ids give their words back.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,6 +17,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidecast.functions import text
 from tidecast.operators.sentiment import FIRST_WORD_ID, PAD_ID, SEPARATOR_ID, SEQUENCE_LENGTH, UNKNOWN_ID
 
+#: Texts that are encoded at once.
+_ROWS = 256
+
 
 def build_pieces(df: DataFrame, words: int, text_col: str = "content") -> DataFrame:
     """piece, n, piece_id: all characters and the ``words`` most frequent longer words; ties go by the piece.
@@ -61,13 +66,17 @@ def encode_pieces(
     if len(rows) > most:
         raise ValueError(f"more than {most} pieces")
     ids = {r["piece"]: r["piece_id"] for r in rows}
-    longest = max(map(len, ids), default=1)
     first = text.tokens(F.lower(text_col), length)
     second = text.tokens(F.lower(pair_col), length) if pair_col else F.lit(None).cast("array<string>")
     narrow = df.select(row_id, first.alias("_first"), second.alias("_second"))
     numbers = F.array(F.lit(0).cast("long"))
     schema = narrow.select(row_id, numbers.alias("input_ids"), numbers.alias("attention_mask")).schema
-    types = to_arrow_schema(schema)
+    return narrow.mapInArrow(_encoder(ids, to_arrow_schema(schema), length, pair_col is not None), schema)
+
+
+def _encoder(ids: dict[str, int], types, length: int, paired: bool) -> Callable:
+    """A function over Arrow batches of a row's id, words and words of its pair text, ``_ROWS`` of them at a time."""
+    longest = max(map(len, ids), default=1)
 
     def run(batches):
         import pyarrow as pa
@@ -86,20 +95,20 @@ def encode_pieces(
                 found += known[word]
             return found[:length]
 
-        for batch in batches:
-            whole = []
+        for batch in (whole.slice(at, _ROWS) for whole in batches for at in range(0, whole.num_rows, _ROWS)):
+            rows = []
             for own, pair in zip(batch.column("_first").to_pylist(), batch.column("_second").to_pylist()):
-                if pair_col is None:
-                    whole.append(pieces(own))
+                if not paired:
+                    rows.append(pieces(own))
                 else:
                     end = pieces(pair)[: length - 1]
-                    whole.append([*pieces(own)[: length - 1 - len(end)], SEPARATOR_ID, *end])
-            masks = [[1] * len(x) + [0] * (length - len(x)) for x in whole]
-            whole = [x + [PAD_ID] * (length - len(x)) for x in whole]
-            columns = [batch.column(row_id), pa.array(whole, types.field("input_ids").type), pa.array(masks, types.field("attention_mask").type)]
+                    rows.append([*pieces(own)[: length - 1 - len(end)], SEPARATOR_ID, *end])
+            masks = [[1] * len(x) + [0] * (length - len(x)) for x in rows]
+            rows = [x + [PAD_ID] * (length - len(x)) for x in rows]
+            columns = [batch.column(types.names[0]), pa.array(rows, types.field("input_ids").type), pa.array(masks, types.field("attention_mask").type)]
             yield pa.RecordBatch.from_arrays(columns, schema=types)
 
-    return narrow.mapInArrow(run, schema)
+    return run
 
 
 def words_of(input_ids: list[int], pieces: dict[int, str]) -> list[str]:
