@@ -3,11 +3,12 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidecast.operators import boosting
-from tidecast.operators.boosting import Job, Params
+from tidecast.operators.boosting import Job, Params, Tree
 
 COLUMNS = ["a", "b", "c", "empty"]
 
@@ -151,3 +152,28 @@ def test_empty_tables_and_no_jobs(table):
     assert splits_of(models[0]) == [] and scored.collect() == []
     assert boosting.grow(table[0], COLUMNS, "y", F.col("id"), F.col("id"), [], ["id"])[1].collect() == []
     assert boosting.predict(models[0], none).collect() == []
+
+
+def test_late_trees_are_only_asked_for_rows_that_are_learned_from(monkeypatch):
+    asked, leaves = [], Tree.leaves
+    monkeypatch.setattr(Tree, "leaves", lambda self, bins: (asked.append(len(bins)), leaves(self, bins))[1])
+    rng = np.random.default_rng(2)
+    bins, margins = rng.integers(0, 5, (1000, 3)).astype("uint8"), rng.normal(size=(1000, 1))
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "at": np.arange(1000) // 100, "id": np.arange(1000), "y": pa.array(np.arange(1000) % 2, pa.int32()),
+            "bins": pa.array([b.tobytes() for b in bins], pa.binary()), "margins": pa.array([m.tobytes() for m in margins], pa.binary()),
+        }
+    )
+    late = Tree.empty(1)
+    late.feature[1], late.bin[1], late.value[2:] = 1, 2, (0.3, -0.2)
+    growth = boosting._Growth([Job(Params(depth=1, row_share=1.0, column_share=1.0), (0, 2))], 3, 5)
+    growth.late, growth.now, growth.open = [[late] * 4], [Tree.empty(1)], [[1]]
+    cells = pa.Table.from_batches(growth.histograms([batch.slice(0, 150), batch.slice(150)])).to_pylist()
+    assert sum(asked) == 5 * 200
+    own = margins[:200, 0] + 4 * np.where(bins[:200, 1] <= 2, 0.3, -0.2) * (bins[:200, 1] > 0) + 4 * -0.2 * (bins[:200, 1] == 0)
+    p = 1 / (1 + np.exp(-own))
+    for f in range(3):
+        for b in range(5):
+            want = np.rint((p - np.arange(200) % 2) * (1 << 24))[bins[:200, f] == b].sum()
+            assert sum(c["g"] for c in cells if (c["feature"], c["bin"]) == (f, b)) == pytest.approx(want, abs=200)
