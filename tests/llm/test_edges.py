@@ -1,6 +1,8 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import random
+from collections import Counter
+from math import log, log10
 
 import numpy as np
 import public_tokenizers
@@ -298,6 +300,58 @@ def test_tree_probabilities_sum_to_one(spark):
             assert some + left * (rare + 1) / tree.mass == pytest.approx(1)
 
 
+def brute_force_tree(texts):
+    """log10 probability of each text by dictionaries: contexts of up to two words, all that occurs three times counts."""
+    seen, sizes = [Counter(), Counter(), Counter()], [Counter(), Counter(), Counter()]
+    streams = [[None, *t.split(), None] for t in texts]
+    for own in streams:
+        for i in range(1, len(own)):
+            for k in range(min(i, 2) + 1):
+                seen[k][tuple(own[i - k : i + 1])] += 1
+                sizes[k][tuple(own[i - k : i])] += 1
+    mass = seen[0].total() + len(seen[0]) + 1
+    states = {}
+
+    def p(context, word):
+        if not context:
+            return (seen[0][(word,)] + 1) / mass
+        below = p(context[1:], word)
+        if context not in states:
+            return below
+        n = seen[len(context)][(*context, word)]
+        return (n - 0.5) / sizes[len(context)][context] * (n >= 3) + states[context] * below
+
+    for k in (1, 2):
+        found = {}
+        for context, total in sizes[k].items():
+            nexts = {g[-1]: n for g, n in seen[k].items() if g[:-1] == context and n >= 3}
+            parent = {w: p(context[1:], w) for w in nexts}
+            left = max(1 - sum(nexts.values()) / total, 1e-12)
+            apart = sum(n / total * log(n / total / parent[w]) for w, n in nexts.items()) + left * log(left / max(1 - sum(parent.values()), 1e-12))
+            if nexts and apart >= suffixlm.DIVERGENCE:
+                found[context] = 1 - sum((n - 0.5) / total for n in nexts.values())
+        states |= found
+    return [sum(log10(p(tuple(own[max(0, i - 2) : i]), own[i])) for i in range(1, len(own))) for own in streams]
+
+
+@pytest.mark.parametrize("share", [1.0, 0.01, 1e-9])
+def test_tree_loses_nothing_that_is_rare_in_a_large_corpus(spark, monkeypatch, share):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["a b", "a c d", f"x{rng.randrange(40)} y", "m n o"]) for _ in range(40)) for _ in range(30)]
+    rows = [(k, t, "en") for k, t in enumerate(texts)]
+    for name in ("WORD", "NEXT"):
+        monkeypatch.setattr(suffixlm, name, share)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r["doc_id"]: r["score"] for r in suffixlm.score(docs, *suffixlm.train(docs, F.lit(True)), F.lit(False)).collect()}
+    assert [got[k] for k in range(len(texts))] == pytest.approx(brute_force_tree(texts), abs=1e-6)
+
+
+def test_hashes_of_sequences_are_those_of_spark(spark):
+    pairs = [(0, 0), (-1, 5), (1 << 62, -(1 << 63)), (123456789, -987654321)]
+    own = suffixlm.gram_of(*np.array(pairs, "int64").T)
+    assert own.tolist() == [r[0] for r in spark.createDataFrame(pairs, "a long, b long").coalesce(1).select(F.xxhash64("a", "b")).collect()]
+
+
 def test_urls_of_every_shape(spark):
     rows = [(1, "HTTP://A.Org/x?q=1#f"), (2, None), (3, "no scheme"), (4, "http://spam.com"), (4, "http://spam.com"), (5, "x://b.org:80/"), (6, "a://b://c/d"), (7, ""), (8, "http://é.de/" + "a1" * 5000)]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))
