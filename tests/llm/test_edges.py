@@ -243,6 +243,21 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert got == {i: 0 for i in range(1, 61)} | {2000 + i: 1000 for i in range(200)}
 
 
+def test_near_copies_are_found_by_simhash_without_a_band(spark):
+    rng = random.Random(4)
+    words = [rng.choice("abcdefghij") + str(rng.randrange(90)) for _ in range(400)]
+    whole, other = " ".join(words), " ".join(rng.sample(words, 400))
+    of = lambda t: simhash.majority(minhash.shingles(t))
+    near = next(t for t in (f"{whole} z{k}" for k in range(200)) if 0 < ((of(t) ^ of(whole)) & (2**64 - 1)).bit_count() <= 2)
+    same = next(t for t in (f"{whole} y{k}" for k in range(2000)) if of(t) == of(whole))
+    rows = [(1, whole, "en"), (2, near, "en"), (3, other, "en"), (4, same, "en"), (5, None, "en")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    prints = minhash.prints(docs).withColumn("bands", F.array().cast("array<long>"))
+    root = {r["fp"]: r["root"] for r in minhash.classes(docs, prints).collect()}
+    of_doc = {k: root[minhash.print_of(minhash.shingles(t))] for k, t, _ in rows}
+    assert of_doc[1] == of_doc[2] == of_doc[4] and len({of_doc[k] for k in (1, 3, 5)}) == 3
+
+
 @pytest.mark.parametrize("keep_one", [simhash.keep_one, minhash.keep_one])
 def test_one_of_each_group_stays(docs, keep_one):
     got = keep_one(docs)

@@ -1,9 +1,10 @@
-"""Near copies by the Jaccard similarity of their word shingles: MinHash bands, then the exact similarity.
+"""Near copies by the Jaccard similarity of their word shingles: SimHash and MinHash bands, then the exact similarity.
 
 A text is the set of its shingles of five words. Each of ``BANDS`` bands hashes the least values of
 ``ROWS`` hash functions; two texts of similarity s agree in a band with probability s^ROWS, so a
-pair at 0.8 shares no band once in 1.6 million times, and more similar ones less often. Every
-pair that shares a band is compared by its whole shingle sets unless it is linked already or its
+pair at 0.8 shares no band once in 1.6 million times, and more similar ones less often. A text also has
+the SimHash of its shingles; those that differ in at most two bits are all found
+(``simhash.neighbours``), whatever the bands. Every pair that shares a band or is that near is compared by its whole shingle sets unless it is linked already or its
 sizes rule it out; nothing is capped.
 
 Texts of equal sets are one node. No pairs of a bucket are formed: nodes that buckets connect are compared
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm.common import ascii_lower, components, map_rows, staged
-from tidecast.llm.simhash import one_of_each
+from tidecast.llm.simhash import majority, neighbours, one_of_each
 
 WORDS = 5
 #: Percent of the shingles of two texts that they share.
@@ -64,24 +65,29 @@ def bands(own: np.ndarray) -> list[int]:
 
 
 def prints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, ``fp`` (digest of the shingle set), its size and buckets of every row, staged."""
+    """key, ``fp`` (digest of the shingle set), its size, buckets and SimHash (null for the empty set) of every row, staged."""
     kind = docs.schema[key].dataType.simpleString()
 
     def rows(batch):
         for doc, whole in zip(batch["_key"], batch["_text"]):
             own = shingles(whole)
-            yield doc, print_of(own), len(own), bands(own)
+            yield doc, print_of(own), len(own), bands(own), majority(own) if len(own) else None
 
     narrow = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    return staged(map_rows(narrow, f"`{key}` {kind}, fp long, size long, bands array<long>", rows, 512), "prints")
+    return staged(map_rows(narrow, f"`{key}` {kind}, fp long, size long, bands array<long>, sim long", rows, 512), "prints")
 
 
 def classes(docs: DataFrame, prints: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """Per distinct shingle set: fp and ``root``, the smallest fp that links of similar sets reach, staged."""
     from tidecast.llm import tensored  # which takes its shingles from here
 
-    nodes = staged(prints.groupBy("fp").agg(F.min(key).alias("_first"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
+    firsts = [F.first(c).alias(c) for c in ("size", "bands", "sim")]
+    nodes = staged(prints.groupBy("fp").agg(F.min(key).alias("_first"), *firsts), "nodes")
     entries = nodes.select("fp", "size", F.posexplode("bands").alias("band", "bucket"))
+    sims = nodes.where(F.col("sim").isNotNull()).select("fp", "size", "sim")
+    near = neighbours(sims.select(F.col("sim").alias("fp")).distinct()).select(F.col("named").alias("bucket"), F.explode("fps").alias("sim"))
+    near = near.unionByName(sims.select(F.col("sim").alias("bucket"), "sim")).distinct()
+    entries = entries.unionByName(sims.join(near, "sim").select("fp", "size", F.lit(BANDS).alias("band"), "bucket"))
     of_bucket = entries.groupBy("band", "bucket").agg(F.min("fp").alias("_least"), F.max("fp").alias("_most"))
     shared = of_bucket.where("_least < _most").select("band", "bucket", "_least")
     entries = staged(entries.join(shared, ["band", "bucket"]), "entries")

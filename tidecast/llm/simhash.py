@@ -53,7 +53,12 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
         digest = xxhash.xxh64_intdigest
         spans = zip((ends - lengths)[: 1 - words].tolist(), ends[words - 1 :].tolist())
         hashes = [digest(joined[a:b], seed) for a, b in spans]
-    lanes = np.array(hashes, "<u8").view("u1").reshape(-1, 8)
+    return majority(np.array(hashes, "<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of some 64-bit hashes have, as a signed integer."""
+    lanes = hashes.view("u1").reshape(-1, 8)
     if len(hashes) < 256:
         set_bits = np.unpackbits(lanes, axis=1, bitorder="little").sum(axis=0, dtype="int64")
     else:
@@ -73,8 +78,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return staged(map_rows(narrow, f"`{key}` {kind}, fp long", rows), "fingerprints")
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect all distinct fingerprints ``fp`` within the radius, without listing all pairs."""
+def neighbours(distinct: DataFrame) -> DataFrame:
+    """(named, fps): groups of distinct fingerprints ``fp``; two are in a common group exactly if they are within the radius."""
     if RADIUS != 2:
         raise ValueError("links are made for two differing bits")
     tables = masks()
@@ -92,7 +97,12 @@ def links(distinct: DataFrame) -> DataFrame:
         "fp",
         F.explode(F.filter(flips, lambda f: f.bitwiseAND(F.col("free")) == f)).alias("flip"),
     ).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("named"))
-    groups = named.groupBy("named").agg(F.collect_set("fp").alias("fps")).where("size(fps) > 1")
+    return named.groupBy("named").agg(F.collect_set("fp").alias("fps")).where("size(fps) > 1")
+
+
+def links(distinct: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect all distinct fingerprints ``fp`` within the radius, without listing all pairs."""
+    groups = neighbours(distinct)
     return groups.select(F.array_min("fps").alias("b"), F.explode("fps").alias("a")).where("a <> b").distinct().select("a", "b")
 
 
