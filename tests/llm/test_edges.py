@@ -502,6 +502,30 @@ def test_nodes_far_from_a_pivot_get_another(spark, monkeypatch):
         assert {r["doc_id"]: r["component_id"] for r in got} == root
 
 
+def test_copies_of_one_another_far_from_the_pivot_cost_linear_pairs(spark, monkeypatch):
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(4, 9)))
+    base = [word() for _ in range(160)]
+    other = [word() for _ in range(160)]
+    rows = [(0, " ".join(other))]
+    for k in range(1, 201):
+        own = list(base if k < 200 else other)
+        own[rng.randrange(160)] = word()
+        rows.append((k, " ".join(own)))
+    monkeypatch.setattr(tensored, "_clusters", lambda met: tensored.staged(
+        met.select("node", F.lit(0).cast("long").alias("pivot")).distinct(), "clusters"))
+    monkeypatch.setattr(tensored, "ROUNDS", 1)
+    pairs, measured = [], tensored._measured
+
+    def counted(found, sets, least):
+        pairs.append(found.count())
+        return measured(found, sets, least)
+
+    monkeypatch.setattr(tensored, "_measured", counted)
+    got = tensored.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert {r["component_id"] for r in got} == {0, 1} and 200 < sum(pairs) < 4 * 200
+
+
 def test_near_copies_that_miss_the_threshold_cost_no_pairs(spark, monkeypatch):
     rng = random.Random(14)
     word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(4, 9)))

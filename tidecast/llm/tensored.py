@@ -15,7 +15,9 @@ shingles that only one of node and pivot has. The symmetric difference of two no
 differences, so two linked nodes must have most of theirs in common; they are compared only if
 they share one of the rarest, as many as a link of their sizes can not do without. That search is
 exact, and what all copies of a text share is in no difference, so near copies that just miss
-the threshold and unlike texts with one template cost a row for each and hardly any pairs.
+the threshold and unlike texts with one template cost a row for each and hardly any pairs. Shingles that
+the same nodes have beyond the pivot count as one, and all that meet there are compared with the
+least and the greatest of them first, so copies of one another that are far from the pivot make no pairs either.
 
 Nodes far from their pivot are clustered anew without the near ones. The Jaccard distance is a
 metric: of two linked nodes either both are within ``NEAR`` and a link's length of the pivot, or
@@ -113,17 +115,15 @@ def _several(keyed: DataFrame) -> DataFrame:
 def _clusters(keyed: DataFrame) -> DataFrame:
     """(node, pivot): the nodes that keys connect, each with the least of them, staged.
 
-    Every node first takes the least node that any of its keys has; the keys then hold few
-    different labels, and only those are connected.
+    A key stands for the least node that has it, and a node for the least of its keys'. What a node's
+    keys stand for is connected; the node that a key stands for is among them by its own rows.
     """
     low = keyed.groupBy("met").agg(F.min("node").alias("low"))
-    labels = keyed.join(low, "met").groupBy("node").agg(F.min("low").alias("label"))
+    labels = keyed.join(low, "met").groupBy("node").agg(F.min("low").alias("label"), F.collect_set("low").alias("lows"))
     labels = staged(labels, "labels")
-    named = keyed.join(labels, "node").select("met", "label").distinct()
-    least = named.groupBy("met").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    edges = named.join(least.select("met", "low"), "met").where("label <> low").select(F.col("label").alias("a"), F.col("low").alias("b"))
+    edges = labels.select(F.explode("lows").alias("a"), F.col("label").alias("b")).where("a <> b")
     roots = components(edges.distinct()).toDF("label", "root")
-    joined = labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("pivot"))
+    joined = labels.select("node", "label").join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("pivot"))
     return staged(joined, "clusters")
 
 
@@ -163,35 +163,57 @@ def _may_link(a: Column, b: Column, least: int) -> Column:
     return F.lit(100) * F.least(a, b) >= F.lit(least) * F.greatest(a, b)
 
 
-def _rest(differences: DataFrame, known: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b) of nodes of different groups whose differences from one pivot share a token that a link needs.
+def _rarest(differences: DataFrame, known: DataFrame, least: int) -> DataFrame:
+    """(pivot, low, high, met, step, node, size): what of its difference from a pivot a node needs for a link, staged.
 
     A link of a to a node with a difference of at least ``low`` tokens shares at least half of
     ``|A| + low - most`` of them, ``most`` being the largest symmetric difference that a
     link of a text of its size allows. So the rarest ``|A| - shared + 1`` tokens of either
     meet, in an order that all differences from a pivot have in common. Partners are told apart by the step
-    of their size, which says how many tokens that are.
+    of their size, which says how many tokens that are. Tokens that the same nodes have are one: nodes
+    that share many of them meet once (``met``, a hash of the nodes; if two were equal, more nodes would meet).
     """
     each = staged(differences.select("pivot", "node", "width", F.explode("tokens").alias("token")), "tokens")
-    often = each.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("often"))
+    often = each.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("often"), F.bit_xor(F.xxhash64("node")).alias("met"))
     own = each.join(often, ["pivot", "token"]).groupBy("pivot", "node", "width")
-    own = own.agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("own")).join(known, "node")
+    own = own.agg(F.sort_array(F.collect_list(F.struct("often", "met", "token"))).alias("own")).join(known.select("node", "size"), "node")
     n, most = F.size("own"), F.col("size") * F.lit((100 - least) / least) + F.lit(1e-6)
     steps = F.sequence(F.greatest(F.lit(0), F.floor((n - most) / F.col("width"))).cast("int"), F.floor((n + most) / F.col("width")).cast("int"))
-    own = own.select("pivot", "node", "root", "size", "own", most.alias("most"), F.floor(n / F.col("width")).cast("int").alias("step"), "width", F.explode(steps).alias("other"))
+    own = own.select("pivot", "node", "size", "own", most.alias("most"), F.floor(n / F.col("width")).cast("int").alias("step"), "width", F.explode(steps).alias("other"))
     shared = F.greatest(F.lit(1), F.ceil((n + F.col("other") * F.col("width") - F.col("most")) / 2).cast("int"))
     needed = F.slice("own", F.lit(1), F.greatest(F.lit(0), n - shared + 1))
     # A token of one difference alone meets no other.
-    tokens = F.transform(F.filter(needed, lambda t: t["often"] > 1), lambda t: t["token"])
+    met = F.array_distinct(F.transform(F.filter(needed, lambda t: t["often"] > 1), lambda t: t["met"]))
     low, high = F.least("step", "other").alias("low"), F.greatest("step", "other").alias("high")
-    rare = staged(own.select("pivot", low, high, "step", "node", "root", "size", F.explode(tokens).alias("token")), "rarest")
-    left = rare.where("step = low").select("pivot", "low", "high", "token", F.col("node").alias("a"), F.col("root").alias("_root"), F.col("size").alias("_size"))
-    right = rare.where("step = high").select("pivot", "low", "high", "token", F.col("node").alias("b"), "root", "size")
+    return staged(own.select("pivot", low, high, F.explode(met).alias("met"), "step", "node", "size"), "rarest")
+
+
+def _stars(rare: DataFrame, known: DataFrame, least: int, one: Callable[[Column], Column]) -> DataFrame:
+    """Pairs (a, b) of nodes of different groups: those that meet, each with ``one`` of them (the least or greatest)."""
+    where = ["pivot", "low", "high", "met"]
+    each = rare.join(known.select("node", "root"), "node")
+    low = each.groupBy(*where).agg(one(F.struct("node", "size", "root")).alias("_to"), F.max("root").alias("_most"), F.min("root").alias("_least")).where("_least < _most")
+    met = each.join(low.select(*where, "_to"), where).where("root <> _to.root")
+    return met.where(_may_link(F.col("size"), F.col("_to.size"), least)).select(F.col("_to.node").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def _rest(rare: DataFrame, known: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b) of all nodes of different groups that meet."""
+    each = rare.join(known.select("node", "root"), "node")
+    left = each.where("step = low").select("pivot", "low", "high", "met", F.col("node").alias("a"), F.col("root").alias("_root"), F.col("size").alias("_size"))
+    right = each.where("step = high").select("pivot", "low", "high", "met", F.col("node").alias("b"), "root", "size")
     once = (F.col("low") < F.col("high")) | (F.col("a") < F.col("b"))
-    met = left.join(right, ["pivot", "low", "high", "token"]).where(once & (F.col("_root") != F.col("root")))
+    met = left.join(right, ["pivot", "low", "high", "met"]).where(once & (F.col("_root") != F.col("root")))
     return met.where(_may_link(F.col("_size"), F.col("size"), least)).select("a", "b").distinct()
 
 
+def _known(sizes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, size, root): every node with the least one that links reach, staged."""
+    roots = components(links).toDF("node", "_root")
+    known = sizes.join(roots, "node", "left")
+    return staged(known.select("node", "size", F.coalesce("_root", "node").alias("root")), "known")
+
+
 def connected(
     met: DataFrame, again: Callable[[DataFrame], DataFrame], sizes: DataFrame, sets: DataFrame, least: int
 ) -> DataFrame:
@@ -217,16 +239,17 @@ def connected(
         near = near.unionByName(part)
     near = staged(near.select("pivot", "node", "linked"), "near")
     first = near.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    roots = components(first).toDF("node", "_root")
-    known = sizes.join(roots, "node", "left")
-    known = staged(known.select("node", "size", F.coalesce("_root", "node").alias("root")), "known")
+    known = _known(sizes, first)
 
     # The nodes of one pivot, of which at least two are in different groups and not all are the pivot's.
     rooted = near.join(known.select("node", "root"), "node")
     apart = rooted.groupBy("pivot").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
     open_spokes = near.join(apart.select("pivot"), "pivot", "left_semi").select("pivot", "node")
-    rest = _rest(_differences(open_spokes, sets), known, least)
-    return first.unionByName(_confirmed(rest, sets, least))
+    rare = _rarest(_differences(open_spokes, sets), known, least)
+    for one in (F.min, F.max):
+        first = first.unionByName(_confirmed(_stars(rare, known, least, one), sets, least))
+        known = _known(sizes, first)
+    return first.unionByName(_confirmed(_rest(rare, known, least), sets, least))
 
 
 def links(docs: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
