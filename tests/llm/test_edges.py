@@ -1,6 +1,9 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import pathlib
 import random
+import time
+import urllib.parse
 from collections import Counter
 from math import log, log10
 
@@ -502,6 +505,34 @@ def test_nodes_far_from_a_pivot_get_another(spark, monkeypatch):
         assert {r["doc_id"]: r["component_id"] for r in got} == root
 
 
+def test_stored_tables_leave_no_shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = lambda: {f for d in folders for f in pathlib.Path(str(d)).rglob("shuffle_*.data")}
+    was = files()
+    found = common.staged(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "seven")
+    until = time.monotonic() + 20
+    while files() - was and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not files() - was and found.count() == 7
+
+
+def test_the_tree_keeps_only_the_tables_that_scoring_reads(spark, monkeypatch):
+    labels, stored = {}, suffixlm.staged
+
+    def kept(df, label):
+        found = stored(df, label)
+        labels.setdefault(label, []).extend(pathlib.Path(urllib.parse.urlparse(f).path) for f in found.inputFiles())
+        return found
+
+    monkeypatch.setattr(suffixlm, "staged", kept)
+    rows = [(k, "one two three four five six") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tree, words = suffixlm.train(docs, F.lit(True))
+    left = {label for label, files in labels.items() if any(f.exists() for f in files)}
+    assert {"words", "sequences"} <= left and not left & {"counts", "joined", "level", "states"}
+    assert suffixlm.score(docs, tree, words, F.lit(False)).count() == 20
+
+
 def test_copies_of_one_another_far_from_the_pivot_cost_linear_pairs(spark, monkeypatch):
     rng = random.Random(16)
     word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(4, 9)))

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import arrow_types, ascii_lower, columns_of, staged
+from tidecast.llm.common import arrow_types, ascii_lower, columns_of, dropped, staged
 
 WORD = 1e-6
 NEXT = 2e-7
@@ -150,7 +150,8 @@ def _filter(keys: DataFrame) -> np.ndarray:
         return pa.table({"segment": pa.array([key[0].as_py()], "int32"), "bits": pa.array([np.packbits(held, bitorder="little").tobytes()], "binary")})
 
     bits = np.zeros(size >> 3, "u1")
-    for row in places.distinct().groupBy("segment").applyInArrow(run, "segment int, bits binary").collect():
+    segments = staged(places.distinct().groupBy("segment").applyInArrow(run, "segment int, bits binary"), "filter")
+    for row in segments.collect():
         at = row["segment"] << _SEGMENT - 3
         bits[at : at + (1 << _SEGMENT - 3)] = np.frombuffer(row["bits"], "u1")
     return bits
@@ -242,7 +243,9 @@ def _level(grams: DataFrame, lower: DataFrame) -> tuple[DataFrame, DataFrame]:
     p = F.when(F.col("_beta").isNull(), F.col("_low")).otherwise(value + F.col("_beta") * F.col("_low"))
     gain = F.when(F.col("_beta").isNull(), F.lit(0.0)).otherwise(F.log10(p / (F.col("_beta") * F.col("_low"))))
     done = joined.join(kept, "a", "left").select(F.xxhash64("a", "b").alias("key"), "n", gain.alias("gain"), p.alias("p"))
-    return staged(done, "level"), kept.select(F.col("a").alias("key"), F.log10("_beta").alias("turn"))
+    done = staged(done, "level")
+    dropped(joined)
+    return done, kept.select(F.col("a").alias("key"), F.log10("_beta").alias("turn"))
 
 
 def _arrays(df: DataFrame) -> list[np.ndarray]:
@@ -277,6 +280,7 @@ def train(docs: DataFrame, learn: Column, text: str = "text") -> tuple[Tree, Dat
     parts = [f.join(t, "key", "left").select("key", "n", "gain", F.coalesce("turn", none).alias("turn")) for f, t in zip(levels, turns[1:])]
     every = functools.reduce(DataFrame.unionByName, [*parts, levels[-1].select("key", "n", "gain", none.alias("turn"))])
     every = staged(every.where("gain <> 0 or turn <> 0"), "sequences")
+    dropped(counts, *levels, *turns)
 
     end = hash_of(b"")
     least, enough = max(2, math.ceil(WORD * total)), max(LEAST, math.ceil(NEXT * total))
@@ -296,8 +300,9 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, held_out: Column, key:
     of a lone unknown symbol, 0. Repeated rows are returned each; other columns are ignored.
     """
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"row long, key long, doc {kind}, held boolean, tokens long, known long, base double, gain double"
-    types = arrow_types(schema)
+    own_schema = f"doc {kind}, held boolean, tokens long, known long, base double, gain double"
+    schema = f"row long, key long, own struct<{', '.join(c.replace(' ', ': ', 1) for c in own_schema.split(', '))}>"
+    types, own_types = arrow_types(schema), list(arrow_types(own_schema))
     hot = dataclasses.replace(tree, grams=None)
 
     def run(batches):
@@ -323,22 +328,23 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, held_out: Column, key:
             starts = np.cumsum(lengths) - lengths
             known = listed & (hot.counts[ids] > 0)
             sums = [np.add.reduceat(x, starts) for x in (known.astype("int64"), base, gain)]
-            own = np.arange(row, row + len(rows))
+            numbers = pa.array(np.arange(row, row + len(rows)))
+            columns = [pa.array(c, t.type) for c, t in zip([*zip(*rows), lengths, *sums], own_types)]
+            own = pa.StructArray.from_arrays(columns, fields=own_types)
             # A text's own row has its number as the key, so that these rows are spread as well.
-            columns = [own, own, *zip(*rows), lengths, *sums]
-            yield from pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(columns, types)], schema=types).to_batches(4096)
+            yield from pa.Table.from_arrays([numbers, numbers, own], schema=types).to_batches(4096)
             rare = np.concatenate(rare)
             of_row = row + np.searchsorted(starts, np.concatenate(places), "right") - 1
             for at in range(0, len(rare), 1 << 16):
                 part = [pa.array(c[at : at + (1 << 16)]) for c in (of_row, rare)]
-                rest = [pa.nulls(len(part[0]), t.type) for t in list(types)[2:]]
-                yield pa.RecordBatch.from_arrays([*part, *rest], schema=types)
+                yield pa.RecordBatch.from_arrays([*part, pa.nulls(len(part[0]), types.field("own").type)], schema=types)
             row += len(rows)
 
     texts = docs.select(F.col(key).alias("_key"), held_out.alias("_held"), F.col(text).alias("_text"))
     words = counts.where(F.col("n") < tree.least).select("key", F.log10(F.col("n") + 1).alias("_base"), F.lit(1).alias("_known"), F.col("turn").alias("_gain"))
     more = tree.grams.where(F.col("n") < tree.enough).select("key", F.lit(0.0).alias("_base"), F.lit(0).alias("_known"), (F.col("gain") + F.col("turn")).alias("_gain"))
-    looked_up = texts.mapInArrow(run, schema).join(words.unionByName(more), "key", "left")
+    # A hash join, since the texts' side is many times the size of the addends and need not be sorted.
+    looked_up = texts.mapInArrow(run, schema).join(words.unionByName(more).hint("shuffle_hash"), "key", "left").select("row", "own.*", "_base", "_known", "_gain")
     added = [F.sum(F.coalesce(c, f"_{c}")).alias(c) for c in ("base", "known", "gain")]
     done = looked_up.groupBy("row").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("doc", "held", "tokens")], *added)
     return done.select(
