@@ -5,7 +5,7 @@ result is forced with the ``noop`` sink, so every column of every row is compute
 ``BENCH_SF_DIR``, ``BENCH_CPUS`` and ``BENCH_RUNS`` set the data, the cores and the runs;
 ``BENCH_ALL=1`` times every query so; otherwise some fits, streams and writes run once after
 the headline queries and are reported beside them. ``random_search`` is 4 trials x 2 folds x
-4 to 8 trees of depth 2 to 6, ``evaluate_model`` the same search and the hold-out folds,
+4 to 8 trees of depth 2 to 6, ``evaluate_model`` 20 trials x 7 folds x 350 to 1000 trees and 7 hold-out folds,
 ``network_relevance`` 12 steps over the labelled texts.
 """
 

@@ -1,5 +1,6 @@
 """Boosted trees against a brute-force version, alone and together."""
 
+import itertools
 import math
 
 import numpy as np
@@ -177,3 +178,33 @@ def test_late_trees_are_only_asked_for_rows_that_are_learned_from(monkeypatch):
         for b in range(5):
             want = np.rint((p - np.arange(200) % 2) * (1 << 24))[bins[:200, f] == b].sum()
             assert sum(c["g"] for c in cells if (c["feature"], c["bin"]) == (f, b)) == pytest.approx(want, abs=200)
+
+
+def test_models_grown_in_one_task_equal_those_grown_over_all(table, together, monkeypatch):
+    monkeypatch.setattr(boosting, "_WHOLE", 0)
+    monkeypatch.setattr(boosting, "_KEPT_BACK", 2)
+    models, scored = boosting.grow(table[0], COLUMNS, "y", F.col("id"), F.col("id"), JOBS, ["id"])
+    for model, other in zip(models, together[0]):
+        assert len(model.trees) == len(other.trees)
+        for tree, same in zip(model.trees, other.trees):
+            assert all(np.array_equal(getattr(tree, c), getattr(same, c)) for c in ("feature", "bin", "missing_left", "value", "gain"))
+    assert {(r["job"], r["id"]): r["p"] for r in scored.collect()} == together[1]
+
+
+def test_a_long_search_over_a_small_table_takes_no_pass_for_each_level(spark, table):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("long", "count")
+    job = Job(Params(trees=400, depth=4, rate=0.05), (0, 400), (400, 410))
+    (grown,), scored = boosting.grow(table[0], COLUMNS, "y", F.col("id"), F.col("id"), [job], ["id"])
+    assert len(scored.collect()) == 10 and len(grown.trees) == 400
+    spark.sparkContext.setJobGroup(None, None)
+    assert len(tracker.getJobIdsForGroup("long")) < 20
+
+
+def test_old_margins_are_deleted(spark, table, monkeypatch, tmp_path):
+    monkeypatch.setattr(boosting, "_WHOLE", 0)
+    monkeypatch.setattr(boosting, "_KEPT_BACK", 1)
+    numbers = itertools.count()
+    monkeypatch.setattr(boosting, "scratch_dir", lambda session, label: f"{tmp_path}/{label}-{next(numbers)}")
+    _, scored = boosting.grow(table[0], COLUMNS, "y", F.col("id"), F.col("id"), JOBS[:1], ["id"])
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("margins")]) == 1 and scored.count() == 100
